@@ -1,0 +1,431 @@
+"""Sources, sinks and the layers, on files written from the given tables.
+
+Each query works in a fresh path of the shared folder.
+"""
+
+from __future__ import annotations
+
+import uuid
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from crmflow.operators.rows import upsert
+from crmflow.plans.layers import business_layer, conform_layer, ingest_files
+from crmflow.sources import files, tables as layer_tables
+from crmflow.sources.tables import LayerTables
+from crmflow.storage import scratch_path
+from crmflow.streaming.daily import stream_daily_metrics
+from crmflow.streaming.ingest import append_available, csv_stream
+from crmflow.workload import roles
+from crmflow.workload.registry import query, table
+from crmflow.workload.role_sql import using
+
+Session = SparkSession
+
+INGESTED_AT = datetime(2001, 8, 2, 6, 30)
+INGESTED_ON = date(2001, 8, 2)
+
+# Raw table to role, as files of a customer folder.
+RAW_ROLES = {
+    "customers": roles.customers_raw,
+    "online_transactions": roles.online_raw,
+    "instore_transactions": roles.instore_raw,
+    "loyalty_accounts": roles.loyalty_raw,
+    "service_interactions": roles.service_raw,
+    "customer_insights": roles.insights_raw,
+    "products": roles.products_raw,
+    "stores": roles.stores_raw,
+}
+
+
+def _export(df: DataFrame, path: str) -> str:
+    df.write.option("header", True).csv(path)
+    return path
+
+
+def _export_roles(spark: Session, sf_dir: str) -> tuple[str, dict[str, str]]:
+    """The raw roles as CSV folders below one path."""
+    base = scratch_path(spark, "raw")
+    return base, {name: _export(role(spark, sf_dir), f"{base}/{name}") for name, role in RAW_ROLES.items()}
+
+
+def _layers(spark: Session) -> LayerTables:
+    """Fresh databases, so that runs do not meet."""
+    run = uuid.uuid4().hex[:12]
+    return LayerTables(
+        spark,
+        {layer: f"crmflow_{run}_{layer}" for layer in ("bronze", "silver", "gold")},
+        scratch_path(spark, "warehouse"),
+    )
+
+
+@query(
+    "src_discover",
+    using(
+        "customers_raw online_raw instore_raw loyalty_raw service_raw insights_raw products_raw stores_raw",
+        """SELECT 'customers' AS folder, true AS has_bytes, count(*) AS data_rows FROM customers_raw
+           UNION ALL SELECT 'online_transactions', true, count(*) FROM online_raw
+           UNION ALL SELECT 'instore_transactions', true, count(*) FROM instore_raw
+           UNION ALL SELECT 'loyalty_accounts', true, count(*) FROM loyalty_raw
+           UNION ALL SELECT 'service_interactions', true, count(*) FROM service_raw
+           UNION ALL SELECT 'customer_insights', true, count(*) FROM insights_raw
+           UNION ALL SELECT 'products', true, count(*) FROM products_raw
+           UNION ALL SELECT 'stores', true, count(*) FROM stores_raw""",
+    ),
+)
+def src_discover(spark: Session, sf_dir: str) -> DataFrame:
+    """The CSV files found below a folder, per sub-folder, next to the lines in them."""
+    base, _ = _export_roles(spark, sf_dir)
+    folder = F.element_at(F.split("path", "/"), -2).alias("folder")
+    found = files.discover_csv(spark, base).groupBy(folder).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
+    )
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .text(base)
+        .select(F.col("_metadata.file_path").alias("path"))
+        .groupBy(folder)
+        .agg(F.count(F.lit(1)).alias("lines"))
+    )
+    return found.join(lines, "folder").select(
+        "folder",
+        (F.col("bytes") > 0).alias("has_bytes"),
+        (F.col("lines") - F.col("files")).alias("data_rows"),
+    )
+
+
+@query("src_csv_infer", "SELECT * FROM orders")
+def src_csv_infer(spark: Session, sf_dir: str) -> DataFrame:
+    path = _export(table(spark, sf_dir, "orders"), scratch_path(spark, "orders"))
+    orders = files.read_csv(spark, path)
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+@query("src_csv_schema", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def src_csv_schema(spark: Session, sf_dir: str) -> DataFrame:
+    """Texts with commas, quotes and line ends, read with a given schema and no inference pass."""
+    documents = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "documents")
+    documents.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return (
+        spark.read.schema(documents.schema)
+        .option("header", True)
+        .option("multiLine", True)
+        .option("escape", '"')
+        .csv(path)
+    )
+
+
+def _profile_sql(name: str, columns: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS file, (SELECT count(*) FROM {name}) AS row_count, {len(columns)} AS column_count,
+                   '{column}' AS column_name, '{kind}' AS data_type, true AS nullable,
+                   min(left(CAST({column} AS VARCHAR), 50)) AS sample_value, {i + 1} AS position FROM {name}"""
+        for i, (column, kind) in enumerate(columns)
+    )
+
+
+_PROFILED = {
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
+    "customer": [
+        ("c_custkey", "int"),
+        ("c_name", "string"),
+        ("c_nationkey", "int"),
+        ("c_acctbal", "double"),
+        ("c_mktsegment", "string"),
+    ],
+    "orders": [
+        ("o_orderkey", "int"),
+        ("o_custkey", "int"),
+        ("o_orderstatus", "string"),
+        ("o_totalprice", "double"),
+        ("o_orderpriority", "string"),
+    ],
+}
+
+
+def _profile(spark: Session, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "profiled")
+    paths = [
+        _export(table(spark, sf_dir, name).select(*[c for c, _ in columns]), f"{base}/{name}")
+        for name, columns in _PROFILED.items()
+    ]
+    profile, _ = files.schema_profile(spark, [*paths, f"{base}/absent"])
+    return profile.withColumn("file", files.file_name(F.col("file")))
+
+
+@query("src_schema_profile", " UNION ALL ".join(_profile_sql(n, c) for n, c in _PROFILED.items()))
+def src_schema_profile(spark: Session, sf_dir: str) -> DataFrame:
+    """Types, row counts and samples of four CSV files; a fifth that is missing is left out."""
+    return _profile(spark, sf_dir)
+
+
+@query(
+    "src_schema_summary",
+    """SELECT 'region' AS file, (SELECT count(*) FROM region) AS row_count, 2 AS column_count,
+              'r_regionkey, r_name' AS column_preview
+       UNION ALL SELECT 'nation', (SELECT count(*) FROM nation), 3, 'n_nationkey, n_name, n_regionkey'
+       UNION ALL SELECT 'customer', (SELECT count(*) FROM customer), 5,
+                        'c_custkey, c_name, c_nationkey, c_acctbal +1 more'
+       UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), 5,
+                        'o_orderkey, o_custkey, o_orderstatus, o_totalprice +1 more'""",
+)
+def src_schema_summary(spark: Session, sf_dir: str) -> DataFrame:
+    return files.schema_summary(_profile(spark, sf_dir))
+
+
+@query(
+    "src_table_naming",
+    """SELECT p_partkey, file_name, CASE WHEN file_name = 'Customers.csv' THEN 'customers'
+              ELSE regexp_replace(lower(replace(file_name, '.csv', '')), '[ -]', '_', 'g') END AS table_name
+       FROM (SELECT p_partkey, CASE WHEN p_size = 1 THEN 'Customers.csv'
+                                    ELSE p_brand || '-' || p_name || '.csv' END AS file_name FROM part)""",
+)
+def src_table_naming(spark: Session, sf_dir: str) -> DataFrame:
+    """Table names for files named after the parts; one name is a known one."""
+    made = F.concat("p_brand", F.lit("-"), "p_name", F.lit(".csv"))
+    named = table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(F.col("p_size") == 1, "Customers.csv").otherwise(made).alias("file_name")
+    )
+    return named.withColumn("table_name", files.table_name(F.col("file_name")))
+
+
+@query(
+    "ingest_lineage",
+    """SELECT *, 'customer.parquet' AS _source_file, TIMESTAMP '2001-08-02 06:30:00' AS _ingestion_timestamp,
+              DATE '2001-08-02' AS _ingestion_date FROM customer""",
+)
+def ingest_lineage(spark: Session, sf_dir: str) -> DataFrame:
+    source = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    stamped = layer_tables.add_lineage(table(spark, sf_dir, "customer"), source, INGESTED_AT, INGESTED_ON)
+    return stamped.withColumn("_ingestion_timestamp", F.col("_ingestion_timestamp").cast("timestamp_ntz"))
+
+
+@query(
+    "ingest_table",
+    """SELECT s_suppkey, s_name, s_nationkey, s_acctbal, DATE '2001-08-02' AS _ingestion_date,
+              2 * (SELECT count(*) FROM supplier) AS rows_written
+       FROM supplier, (VALUES (1), (2)) AS twice(n)""",
+)
+def ingest_table(spark: Session, sf_dir: str) -> DataFrame:
+    """One table written to the raw layer and appended again; row counts come from the writes."""
+    layers = _layers(spark)
+    layers.create("bronze")
+    raw = layer_tables.add_lineage(table(spark, sf_dir, "supplier"), "supplier", INGESTED_AT, INGESTED_ON)
+    written = layers.write(raw, "supplier", "bronze", "overwrite", ["_ingestion_date"])
+    written += layers.write(raw, "supplier", "bronze", "append", ["_ingestion_date"])
+    return (
+        layers.read("supplier", "bronze")
+        .drop("_source_file", "_ingestion_timestamp")
+        .withColumn("rows_written", F.lit(written).cast("bigint"))
+    )
+
+
+@query(
+    "ingest_run_report",
+    """SELECT 'nation' AS table_name, 'SUCCESS' AS status, (SELECT count(*) FROM nation) AS row_count
+       UNION ALL SELECT 'orders', 'SUCCESS', (SELECT count(*) FROM orders)
+       UNION ALL SELECT 'absent', 'ERROR', NULL
+       UNION ALL SELECT 'customer', 'SUCCESS', (SELECT count(*) FROM customer)""",
+)
+def ingest_run_report(spark: Session, sf_dir: str) -> DataFrame:
+    """Status and rows per file; the missing one does not stop the others."""
+    base = scratch_path(spark, "incoming")
+    paths = {n: _export(table(spark, sf_dir, n), f"{base}/{n}") for n in ("nation", "orders", "customer")}
+    found = {"nation": paths["nation"], "orders": paths["orders"], "absent": f"{base}/absent"}
+    report = ingest_files(_layers(spark), {**found, "customer": paths["customer"]})
+    return report.select("table_name", "status", "row_count")
+
+
+_ALL_RAW = "customers_raw online_raw instore_raw loyalty_raw service_raw insights_raw products_raw stores_raw"
+
+
+@query(
+    "conform_run_report",
+    using(
+        _ALL_RAW,
+        """SELECT 'customers' AS table_name, 'SUCCESS' AS status, (SELECT count(*) FROM customers_raw) AS row_count
+           UNION ALL SELECT 'transactions', 'SUCCESS', (SELECT count(*) FROM orders)
+           UNION ALL SELECT 'loyalty', 'SUCCESS', (SELECT count(*) FROM loyalty_raw)
+           UNION ALL SELECT 'service_interactions', 'SUCCESS', (SELECT count(*) FROM service_raw)
+           UNION ALL SELECT 'customer_insights', 'SUCCESS', (SELECT count(*) FROM insights_raw)
+           UNION ALL SELECT 'products', 'SUCCESS', (SELECT count(*) FROM products_raw)
+           UNION ALL SELECT 'stores', 'SKIPPED', NULL""",
+    ),
+)
+def conform_run_report(spark: Session, sf_dir: str) -> DataFrame:
+    """All cleaned tables from raw CSV; the stores were not delivered."""
+    layers = _layers(spark)
+    _, paths = _export_roles(spark, sf_dir)
+    ingest_files(layers, {n: p for n, p in paths.items() if n != "stores"})
+    return conform_layer(layers, roles.as_of()).select("table_name", "status", "row_count")
+
+
+@query(
+    "business_run_report",
+    using(
+        "customers_raw daily campaigns",
+        """SELECT 'customer_360' AS table_name, 'SUCCESS' AS status, (SELECT count(*) FROM customers_raw) AS row_count
+           UNION ALL SELECT 'customer_segments', 'SUCCESS', (SELECT count(*) FROM customers_raw)
+           UNION ALL SELECT 'customer_clv', 'SUCCESS', (SELECT count(*) FROM customers_raw)
+           UNION ALL SELECT 'campaign_performance', 'SUCCESS', (SELECT count(*) FROM campaigns)
+           UNION ALL SELECT 'daily_metrics', 'SUCCESS', (SELECT count(*) FROM daily)""",
+    ),
+)
+def business_run_report(spark: Session, sf_dir: str) -> DataFrame:
+    """Raw files to business tables, layer by layer."""
+    layers = _layers(spark)
+    _, paths = _export_roles(spark, sf_dir)
+    ingest_files(layers, paths)
+    conform_layer(layers, roles.as_of())
+    return business_layer(layers, roles.as_of()).select("table_name", "status", "row_count")
+
+
+@query("src_table", using("stores", "SELECT * FROM stores"))
+def src_table(spark: Session, sf_dir: str) -> DataFrame:
+    """A table of the cleaned layer, scanned by name."""
+    layers = _layers(spark)
+    layers.create("silver")
+    layers.write(roles.stores(spark, sf_dir), "stores", "silver")
+    return layers.read("stores", "silver")
+
+
+@query(
+    "sink_append_evolve",
+    """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS balance FROM customer
+       UNION ALL SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier""",
+)
+def sink_append_evolve(spark: Session, sf_dir: str) -> DataFrame:
+    """An append that brings one new column and lacks another."""
+    layers = _layers(spark)
+    layers.create("silver")
+    customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    first = customer.select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+    )
+    second = supplier.select(
+        F.col("s_acctbal").alias("balance"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")
+    )
+    layers.write(first, "parties", "silver", "overwrite")
+    layers.write(second, "parties", "silver", "append")
+    return layers.read("parties", "silver")
+
+
+@query(
+    "sink_merge_files",
+    """SELECT n_nationkey AS key, n_name AS name, n_regionkey AS parent FROM nation
+       UNION ALL SELECT r_regionkey, r_name, NULL FROM region""",
+)
+def sink_merge_files(spark: Session, sf_dir: str) -> DataFrame:
+    """Files of one folder whose columns differ."""
+    path = scratch_path(spark, "places")
+    nation = table(spark, sf_dir, "nation")
+    layer_tables.write_output(
+        nation.withColumnsRenamed({"n_nationkey": "key", "n_name": "name", "n_regionkey": "parent"}), path
+    )
+    region = table(spark, sf_dir, "region").withColumnsRenamed({"r_regionkey": "key", "r_name": "name"})
+    layer_tables.write_output(region, path, mode="append")
+    return layer_tables.read_merged(spark, path)
+
+
+@query("src_generic", "SELECT * FROM events")
+def src_generic(spark: Session, sf_dir: str) -> DataFrame:
+    """Events through JSON and ORC files, read by format name."""
+    events = table(spark, sf_dir, "events")
+    base = scratch_path(spark, "events")
+    early = events.where("ts < '2024-01-15'")
+    layer_tables.write_output(early, f"{base}/early", "json")
+    layer_tables.write_output(events.where("ts >= '2024-01-15'"), f"{base}/late", "orc")
+    json = files.read_input(spark, f"{base}/early", "json").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return json.select(*events.columns).unionByName(files.read_input(spark, f"{base}/late", "orc"))
+
+
+@query("sink_partitioned", "SELECT * FROM orders")
+def sink_partitioned(spark: Session, sf_dir: str) -> DataFrame:
+    """Orders written by priority, then read back over all partitions."""
+    path = scratch_path(spark, "orders-by-priority")
+    orders = table(spark, sf_dir, "orders")
+    layer_tables.write_output(orders, path, partition_by=["o_orderpriority"])
+    return spark.read.parquet(path).select(*orders.columns)
+
+
+@query(
+    "sink_replace_partitions",
+    """SELECT o_orderkey, o_totalprice, CASE WHEN l_orderkey IS NULL THEN o_orderstatus ELSE 'F' END AS o_orderstatus,
+              CAST(year(o_orderdate) AS INTEGER) AS year
+       FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE year(l_shipdate) >= 2001)
+            ON l_orderkey = o_orderkey AND year(o_orderdate) = 2001""",
+)
+def sink_replace_partitions(spark: Session, sf_dir: str) -> DataFrame:
+    """Orders stored by year; those of 2001 that have shipped are updated, and only that year is rewritten."""
+    path = scratch_path(spark, "orders-by-year")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderstatus", F.year("o_orderdate").alias("year")
+    )
+    layer_tables.write_output(orders, path, partition_by=["year"])
+    touched = spark.read.parquet(path).where("year = 2001").withColumn("version", F.lit(1))
+    shipped = table(spark, sf_dir, "lineitem").where(F.year("l_shipdate") >= 2001).select("l_orderkey").distinct()
+    changes = (
+        touched.join(shipped, touched["o_orderkey"] == shipped["l_orderkey"], "left_semi")
+        .withColumn("o_orderstatus", F.lit("F"))
+        .withColumn("version", F.lit(2))
+    )
+    updated = upsert(touched, changes, ["o_orderkey"], "version").drop("version")
+    layer_tables.replace_partitions(updated, path, ["year"])
+    return spark.read.parquet(path)
+
+
+@query(
+    "preview",
+    """SELECT o_orderkey, o_custkey, o_totalprice, (SELECT count(*) FROM orders) AS table_rows
+       FROM orders ORDER BY o_orderkey LIMIT 20""",
+)
+def preview(spark: Session, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    shown, count = files.preview(orders.orderBy("o_orderkey"))
+    return shown.withColumn("table_rows", F.lit(count).cast("bigint"))
+
+
+# Streams
+
+
+@query(
+    "ext_stream_ingest",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, true AS has_source FROM orders",
+)
+def ext_stream_ingest(spark: Session, sf_dir: str) -> DataFrame:
+    """Orders arriving as CSV files, appended with lineage; a second run finds nothing new."""
+    orders = table(spark, sf_dir, "orders")
+    source, target, checkpoint = [scratch_path(spark, n) for n in ("arriving", "appended", "progress")]
+    _export(orders, source)
+    for _ in range(2):
+        append_available(csv_stream(spark, source, orders.schema), target, checkpoint).awaitTermination()
+    stored = spark.read.parquet(target)
+    return stored.select(*orders.columns, F.col("_source_file").endswith(".csv").alias("has_source"))
+
+
+@query(
+    "ext_stream_daily",
+    using(
+        "daily transactions",
+        """SELECT * EXCLUDE (unique_customers) FROM daily
+           WHERE transaction_date + 1 <= (SELECT max(transaction_datetime) FROM transactions) - INTERVAL 2 DAY""",
+    ),
+)
+def ext_stream_daily(spark: Session, sf_dir: str) -> DataFrame:
+    """Daily metrics of a stream, for the days the watermark has passed."""
+    source, target, checkpoint = [scratch_path(spark, n) for n in ("sales", "daily", "progress")]
+    transactions = roles.transactions(spark, sf_dir)
+    transactions.write.parquet(source)
+    stream = spark.readStream.schema(transactions.schema).parquet(source)
+    running = (
+        stream_daily_metrics(stream)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(target)
+    )
+    running.awaitTermination()
+    return spark.read.parquet(target).drop("unique_customers")
