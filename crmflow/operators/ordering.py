@@ -128,17 +128,17 @@ def _split_numbering(
     policy: SkewPolicy,
     distinct: bool = False,
 ) -> DataFrame:
-    """Adds ``_part``, ``_position`` and ``_row`` (1-based inside the group)."""
+    """Adds ``_part``, ``_position`` and ``_group_row`` (1-based inside the group)."""
     placed = global_positions(df, [*keys, *order_by], policy, distinct)
     if not keys:
-        return placed.withColumn("_row", F.col("_position")).drop("_place")
+        return placed.withColumn("_group_row", F.col("_position")).drop("_place")
     # Hot groups only, hence bounded by SkewPolicy.max_hot_groups.
     starts = placed.groupBy(*keys).agg((F.min("_position") - 1).alias("_group_start"))
     starts = starts.select(*[F.col(k).alias(f"_start_{k}") for k in keys], "_group_start")
     match = null_safe_match(placed, starts, [(k, f"_start_{k}") for k in keys])
     return (
         placed.join(F.broadcast(starts), match)
-        .withColumn("_row", F.col("_position") - F.col("_group_start"))
+        .withColumn("_group_row", F.col("_position") - F.col("_group_start"))
         .drop("_place", "_group_start", *[f"_start_{k}" for k in keys])
     )
 
@@ -180,8 +180,8 @@ def number_rows(
     def split(rows: DataFrame) -> DataFrame:
         return (
             _split_numbering(rows, partition_by, order_by, policy)
-            .withColumn(name, F.col("_row"))
-            .drop("_part", "_position", "_row")
+            .withColumn(name, F.col("_group_row"))
+            .drop("_part", "_position", "_group_row")
         )
 
     return per_group(df, partition_by, plain, split, policy)
@@ -297,11 +297,11 @@ def neighbour_rows(
         for new, (column, offset) in outputs.items():
             other = numbered.select(
                 (F.col("_position") - offset).alias("_wanted"),
-                (F.col("_row") - offset).alias("_wanted_row"),
+                (F.col("_group_row") - offset).alias("_wanted_row"),
                 F.col(column).alias(new),
                 *[F.col(k).alias(f"_other_{k}") for k in keys],
             )
-            match = (result["_position"] == other["_wanted"]) & (result["_row"] == other["_wanted_row"])
+            match = (result["_position"] == other["_wanted"]) & (result["_group_row"] == other["_wanted_row"])
             if keys:
                 match = match & null_safe_match(result, other, [(k, f"_other_{k}") for k in keys])
             result = result.join(other, match, "left").drop(
@@ -352,7 +352,7 @@ def value_ranks(
             *keys,
             *names,
             (F.col("_carry") + F.col("_inside") + 1).alias("rank"),
-            F.col("_row").alias("dense_rank"),
+            F.col("_group_row").alias("dense_rank"),
             "value_rows",
             "group_rows",
         )

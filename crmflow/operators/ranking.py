@@ -87,7 +87,7 @@ def rank_rows(
         # The group is part of the value here, so a hot group is many values.
         ranks = value_ranks(rows, order_by, keys, policy).drop("value_rows")
         joined = attach_by_value(numbered, ranks, [*keys, *[n for n in names if n not in keys]], policy)
-        n, row = F.col("group_rows"), F.col("_row")
+        n, row = F.col("group_rows"), F.col("_group_row")
         small = F.expr(f"group_rows div {buckets}")
         larger = n % buckets
         in_larger = larger * (small + 1)

@@ -8,15 +8,16 @@ from crmflow.plans.daily import daily_aggregates, daily_columns
 
 
 def stream_daily_metrics(transactions: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """The daily table from a stream; a day is final once the watermark has passed it.
+    """The daily table from a stream; a day is final once one ``lateness`` after it has begun.
 
-    Rows later than ``lateness`` are left out, and customers are counted
-    approximately, since streams do not support exact distinct counts.
+    Rows for a final day are left out, and customers are counted approximately,
+    since streams do not support exact distinct counts.
     """
-    windowed = (
-        transactions.withWatermark("transaction_datetime", lateness)
-        .groupBy(F.window("transaction_datetime", "1 day").alias("_day"))
+    by_day = (
+        transactions.withColumn("_day", F.col("transaction_date").cast("timestamp"))
+        .withWatermark("_day", lateness)
+        .groupBy("_day")
         .agg(*daily_aggregates(F.approx_count_distinct("customer_id")))
-        .withColumn("transaction_date", F.col("_day.start").cast("date"))
+        .withColumn("transaction_date", F.col("_day").cast("date"))
     )
-    return daily_columns(windowed, "transaction_date")
+    return daily_columns(by_day, "transaction_date")

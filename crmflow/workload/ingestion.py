@@ -336,7 +336,8 @@ def src_generic(spark: Session, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     base = scratch_path(spark, "events")
     early = events.where("ts < '2024-01-15'")
-    layer_tables.write_output(early, f"{base}/early", "json")
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    layer_tables.write_output(early, f"{base}/early", "json", timestampNTZFormat=micros)
     layer_tables.write_output(events.where("ts >= '2024-01-15'"), f"{base}/late", "orc")
     json = files.read_input(spark, f"{base}/early", "json").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     return json.select(*events.columns).unionByName(files.read_input(spark, f"{base}/late", "orc"))
@@ -409,9 +410,9 @@ def ext_stream_ingest(spark: Session, sf_dir: str) -> DataFrame:
 @query(
     "ext_stream_daily",
     using(
-        "daily transactions",
+        "daily",
         """SELECT * EXCLUDE (unique_customers) FROM daily
-           WHERE transaction_date + 1 <= (SELECT max(transaction_datetime) FROM transactions) - INTERVAL 2 DAY""",
+           WHERE transaction_date <= (SELECT max(transaction_date) - 2 FROM daily)""",
     ),
 )
 def ext_stream_daily(spark: Session, sf_dir: str) -> DataFrame:
