@@ -58,9 +58,9 @@ def cleanse(
     df: DataFrame, columns: Sequence[str], upper_case: bool = True, trim_spaces: bool = True
 ) -> DataFrame:
     """Trim and upper-case text columns; names that do not exist are ignored."""
-    changed = {}
+    changed, present = {}, set(df.columns)
     for name in columns:
-        if name in df.columns:
+        if name in present:
             column = F.col(name)
             if trim_spaces:
                 column = F.trim(column)
@@ -72,8 +72,9 @@ def cleanse(
 
 def try_cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns that exist; a value that does not fit becomes NULL."""
+    present = set(df.columns)
     return df.withColumns(
-        {name: F.col(name).try_cast(kind) for name, kind in types.items() if name in df.columns}
+        {name: F.col(name).try_cast(kind) for name, kind in types.items() if name in present}
     )
 
 
@@ -106,7 +107,8 @@ def percent_of(part: Column, whole: Column, otherwise: float | None = 0.0) -> Co
 
 def fill_nulls(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     """Fill NULLs in the named columns that exist."""
-    present = {name: value for name, value in values.items() if name in df.columns}
+    columns = set(df.columns)
+    present = {name: value for name, value in values.items() if name in columns}
     return df.fillna(present) if present else df
 
 

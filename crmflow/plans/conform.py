@@ -10,9 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crmflow.operators.project import rename_columns, try_cast_columns
 from crmflow.plans import bands
 from crmflow.plans.bands import is_weekend, label
+from crmflow.plans.dates import AsOf, as_date
 
 # Lineage columns of the raw layer and the accepted email form.
 LINEAGE = ["_source_file", "_ingestion_timestamp", "_ingestion_date"]
@@ -108,7 +108,14 @@ TRANSACTION_COLUMNS = [
 
 
 def _prepare(raw: DataFrame, names: dict[str, str], types: dict[str, str]) -> DataFrame:
-    return try_cast_columns(rename_columns(raw.drop(*LINEAGE), names), types)
+    """Rename (blanks around headers are ignored) and cast in one projection, without the lineage."""
+    columns = []
+    for header in raw.columns:
+        if header not in LINEAGE:
+            name = names.get(header.strip(), header.strip())
+            column = F.col(f"`{header}`")
+            columns.append((column.try_cast(types[name]) if name in types else column).alias(name))
+    return raw.select(*columns)
 
 
 def _moment(df: DataFrame, name: str) -> DataFrame:
@@ -167,7 +174,7 @@ def conform_transactions(online: DataFrame, instore: DataFrame, key_type: str =
     )
 
 
-def conform_loyalty(raw: DataFrame, as_of: Column, key_type: str = "int") -> DataFrame:
+def conform_loyalty(raw: DataFrame, as_of: AsOf, key_type: str = "int") -> DataFrame:
     """Adds tenure in days and in 30-day months up to ``as_of``, and the tier's rank."""
     types = {
         "loyalty_id": key_type,
@@ -175,7 +182,7 @@ def conform_loyalty(raw: DataFrame, as_of: Column, key_type: str = "int") -> Dat
         "total_points": "int",
         "join_date": "date",
     }
-    days = F.datediff(as_of, F.col("join_date"))
+    days = F.datediff(as_date(as_of), F.col("join_date"))
     return _prepare(raw, LOYALTY_NAMES, types).withColumns(
         {
             "tenure_days": days,

@@ -6,12 +6,13 @@ import traceback
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crmflow.operators.quality import drop_exact_duplicates
 from crmflow.plans import conform
 from crmflow.plans.campaigns import build_campaign_performance
 from crmflow.plans.daily import build_daily_metrics
+from crmflow.plans.dates import AsOf
 from crmflow.plans.lifetime import build_lifetime_value
 from crmflow.plans.profile import build_profile
 from crmflow.plans.segments import build_segments
@@ -68,7 +69,7 @@ def ingest_folder(tables: LayerTables, base_path: str, **options) -> DataFrame:
 
 def conform_layer(
     tables: LayerTables,
-    as_of: Column,
+    as_of: AsOf,
     key_type: str = "int",
     deduplicate_transactions: bool = False,
 ) -> DataFrame:
@@ -122,7 +123,7 @@ def conform_layer(
     )
 
 
-def business_layer(tables: LayerTables, as_of: Column) -> DataFrame:
+def business_layer(tables: LayerTables, as_of: AsOf) -> DataFrame:
     """Build the five business tables from the cleaned layer; returns the report.
 
     The profile is written once and read back by the tables that rest on it.

@@ -20,7 +20,7 @@ from crmflow.workload.role_sql import half_up, using
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_profile(
         roles.customers(spark, sf_dir),
-        roles.as_of(),
+        roles.AS_OF,
         roles.transactions(spark, sf_dir),
         roles.loyalty(spark, sf_dir),
         roles.service(spark, sf_dir),
@@ -96,7 +96,7 @@ def customers_from_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_txn_rollup", using("txn_rollup", "SELECT * FROM txn_rollup"))
 def profile_txn_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transaction_rollup(roles.transactions(spark, sf_dir), roles.as_of())
+    return transaction_rollup(roles.transactions(spark, sf_dir), roles.AS_OF)
 
 
 @query("profile_loyalty_rollup", using("loyalty_rollup", "SELECT * FROM loyalty_rollup"))
@@ -106,7 +106,7 @@ def profile_loyalty_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_service_rollup", using("service_rollup", "SELECT * FROM service_rollup"))
 def profile_service_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return service_rollup(roles.service(spark, sf_dir), roles.as_of())
+    return service_rollup(roles.service(spark, sf_dir), roles.AS_OF)
 
 
 @query("rfm_scores", using("scores", "SELECT * FROM scores"))

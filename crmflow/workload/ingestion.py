@@ -260,7 +260,7 @@ def conform_run_report(spark: Session, sf_dir: str) -> DataFrame:
     layers = _layers(spark)
     _, paths = _export_roles(spark, sf_dir)
     ingest_files(layers, {n: p for n, p in paths.items() if n != "stores"})
-    return conform_layer(layers, roles.as_of()).select("table_name", "status", "row_count")
+    return conform_layer(layers, roles.AS_OF).select("table_name", "status", "row_count")
 
 
 @query(
@@ -279,8 +279,8 @@ def business_run_report(spark: Session, sf_dir: str) -> DataFrame:
     layers = _layers(spark)
     _, paths = _export_roles(spark, sf_dir)
     ingest_files(layers, paths)
-    conform_layer(layers, roles.as_of())
-    return business_layer(layers, roles.as_of()).select("table_name", "status", "row_count")
+    conform_layer(layers, roles.AS_OF)
+    return business_layer(layers, roles.AS_OF).select("table_name", "status", "row_count")
 
 
 @query("src_table", using("stores", "SELECT * FROM stores"))

@@ -17,10 +17,6 @@ AS_OF = "2001-08-02"
 WEB_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 
 
-def as_of() -> Column:
-    return F.lit(AS_OF).cast("date")
-
-
 def _div(a: Column, b: Column | int) -> Column:
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
 
@@ -185,7 +181,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loyalty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform.conform_loyalty(loyalty_raw(spark, sf_dir), as_of(), "bigint")
+    return conform.conform_loyalty(loyalty_raw(spark, sf_dir), AS_OF, "bigint")
 
 
 def service(spark: SparkSession, sf_dir: str) -> DataFrame:

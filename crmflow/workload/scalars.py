@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crmflow.functions import scalar
 from crmflow.operators import text
+from crmflow.plans.dates import as_date
 from crmflow.workload import roles
 from crmflow.workload.registry import query, table
 from crmflow.workload.role_sql import using
@@ -119,7 +120,7 @@ def fn_convert(spark: Session, sf_dir: str) -> DataFrame:
        FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
 )
 def fn_date(spark: Session, sf_dir: str) -> DataFrame:
-    day, today = F.col("o_orderdate").cast("date"), roles.as_of()
+    day, today = F.col("o_orderdate").cast("date"), as_date(roles.AS_OF)
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         today.alias("today"),
