@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crmflow.operators.skew import (
     DEFAULT_POLICY,
@@ -18,6 +18,9 @@ from crmflow.operators.skew import (
 
 KeyPair = str | tuple[str, str]
 
+# Up to this many lookup keys are tried one by one on each row.
+_KEYS_PER_ROW_SCAN = 100
+
 
 def _pairs(keys: Sequence[KeyPair]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else k for k in keys]
@@ -186,16 +189,20 @@ def find_replace(
         F.col(find).alias("_found"),
         *[F.col(c).alias(f"_new_{c}") for c in carried],
     )
-    if mode == "whole":
-        values = keys.withColumn(field, F.col("_found"))
-    elif mode in ("start", "any"):
-        values = _best_key(df, field, keys, mode)
-    else:
+    if mode not in ("whole", "start", "any"):
         raise ValueError(f"unknown find mode {mode!r}")
-    if fits_broadcast(values, policy):
-        joined = df.join(F.broadcast(values), field, "left")
+    if mode != "whole" and keys.limit(_KEYS_PER_ROW_SCAN + 1).count() <= _KEYS_PER_ROW_SCAN:
+        joined = _scan_keys(df, field, keys, mode)
     else:
-        joined = join_unique(df, values, [field], "left", policy)
+        values = (
+            keys.withColumn(field, F.col("_found"))
+            if mode == "whole"
+            else _best_key(df, field, keys, mode, policy)
+        )
+        if fits_broadcast(values, policy):
+            joined = df.join(F.broadcast(values), field, "left")
+        else:
+            joined = join_unique(df, values, [field], "left", policy)
     column = F.col(field)
     if replacement:
         new = F.col(f"_new_{replacement}")
@@ -213,11 +220,31 @@ def find_replace(
     )
 
 
-def _best_key(df: DataFrame, field: str, keys: DataFrame, mode: str) -> DataFrame:
-    """For each distinct value of ``field``, the longest key it starts with or contains.
+def _longest_first() -> Column:
+    """Sorting by this puts longer keys first, equal lengths in text order."""
+    return F.struct((-F.length("_found")).alias("_rank"), F.col("_found"))
+
 
-    An equi-join on the substrings of the lookup's key lengths: it needs no
-    comparison of every value with every key, and no size limit on either side.
+def _scan_keys(df: DataFrame, field: str, keys: DataFrame, mode: str) -> DataFrame:
+    """Try a few keys on each row, longest first: no text is shuffled."""
+    value = F.col(field)
+    few = keys.where(F.length("_found") > 0).select("_found").orderBy(_longest_first())
+    found = F.lit(None).cast("string")
+    # At most _KEYS_PER_ROW_SCAN keys; the last one tested ends up innermost.
+    for row in reversed(few.collect()):
+        key = F.lit(row["_found"])
+        fits = value.startswith(key) if mode == "start" else value.contains(key)
+        found = F.when(fits, key).otherwise(found)
+    return df.withColumn("_found", found).join(F.broadcast(keys), "_found", "left")
+
+
+def _best_key(
+    df: DataFrame, field: str, keys: DataFrame, mode: str, policy: SkewPolicy
+) -> DataFrame:
+    """For each distinct value of ``field``, the longest of very many keys that it starts with or contains.
+
+    An equi-join on the value's substrings of the keys' lengths: no value is compared
+    with every key, and neither side has a size limit.
     """
     lengths = keys.where(F.length("_found") > 0).agg(
         F.array_sort(F.collect_set(F.length("_found")))
@@ -234,15 +261,14 @@ def _best_key(df: DataFrame, field: str, keys: DataFrame, mode: str) -> DataFram
         values = values.withColumn("_at", F.lit(1))
     pieces = values.select(
         field, F.substring(F.col(field), F.col("_at"), F.col("_length")).alias("_found")
-    ).distinct()
-    carried = [c for c in keys.columns if c != "_found"]
-    best = F.min_by(
-        F.struct("_found", *carried), F.struct((-F.length("_found")).alias("_rank"), F.col("_found"))
     )
+    if fits_broadcast(keys, policy):
+        hits = pieces.join(F.broadcast(keys), "_found")
+    else:
+        hits = join_unique(pieces, keys, ["_found"], "inner", policy)
     return (
-        pieces.join(keys, "_found")
-        .groupBy(field)
-        .agg(best.alias("_best"))
+        hits.groupBy(field)
+        .agg(F.min_by(F.struct(*keys.columns), _longest_first()).alias("_best"))
         .select(field, "_best.*")
     )
 
@@ -267,7 +293,7 @@ def lookup_dimensions(
 ) -> DataFrame:
     """Left star lookup: each dimension has one row per key and is broadcast only if small."""
     for dimension, key in dimensions:
-        if fits_broadcast(dimension.select(key), policy):
+        if fits_broadcast(dimension, policy):
             df = df.join(F.broadcast(dimension), key, "left")
         else:
             df = join_unique(df, dimension, [key], "left", policy)

@@ -69,8 +69,13 @@ def chunk_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def has_hot_copies(df: DataFrame, policy: SkewPolicy) -> bool:
-    """True when one set of identical rows is too large for one task."""
+def has_hot_copies(df: DataFrame, order_by: Sequence[OrderKey], policy: SkewPolicy) -> bool:
+    """True when one set of identical rows is too large for one task.
+
+    Looks at the order columns first; only if those tie that often are whole rows read.
+    """
+    if hot_groups(df, list(dict.fromkeys(order_names(order_by))), policy) is None:
+        return False
     return hot_groups(df.select(row_hash(df).alias("_hash")), ["_hash"], policy) is not None
 
 
@@ -88,7 +93,7 @@ def global_positions(
     """
     columns = df.columns
     order = order_columns(order_by) + [F.col("_hash")]
-    copies = not distinct and has_hot_copies(df, policy)
+    copies = not distinct and has_hot_copies(df, order_by, policy)
     rows = chunk_copies(df, columns) if copies else df
     rows = rows.withColumn("_hash", row_hash(df))
     if copies:
@@ -321,39 +326,65 @@ def value_ranks(
     """One row per (group, order value): ``rank``, ``dense_rank``, ``value_rows``, ``group_rows``.
 
     Ties collapse before anything is ordered, so a value held by a third of the
-    rows is one row here. Always the split plan: meant for whole tables and hot groups.
+    rows is one row here.
     """
     keys, names = list(partition_by), order_names(order_by)
     counts = df.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("value_rows"))
-    placed = _split_numbering(counts, keys, order_by, policy, distinct=True)
-    inside = (
-        Window.partitionBy(*keys, "_part")
-        .orderBy("_position")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carry_keys = [F.col(k).alias(f"_carry_{k}") for k in keys]
-    per_part = placed.groupBy(*keys, "_part").agg(F.sum("value_rows").alias("_sum"))
-    earlier = Window.partitionBy(*[f"_carry_{k}" for k in keys]).orderBy("_carry_part")
-    whole = Window.partitionBy(*[f"_carry_{k}" for k in keys])
-    carry = per_part.select(*carry_keys, F.col("_part").alias("_carry_part"), "_sum").select(
-        "*",
-        F.coalesce(
-            F.sum("_sum").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_carry"),
-        F.sum("_sum").over(whole).alias("group_rows"),
-    )
-    match = null_safe_match(
-        placed, carry, [("_part", "_carry_part"), *[(k, f"_carry_{k}") for k in keys]]
-    )
-    return (
-        placed.join(F.broadcast(carry), match)
-        .withColumn("_inside", F.coalesce(F.sum("value_rows").over(inside), F.lit(0)))
-        .select(
+    before = F.coalesce(F.col("_before"), F.lit(0))
+
+    def shaped(rows: DataFrame, rank: Column, dense_rank: Column) -> DataFrame:
+        return rows.select(
             *keys,
             *names,
-            (F.col("_carry") + F.col("_inside") + 1).alias("rank"),
-            F.col("_group_row").alias("dense_rank"),
+            (rank + 1).alias("rank"),
+            dense_rank.cast("bigint").alias("dense_rank"),
             "value_rows",
             "group_rows",
         )
-    )
+
+    def plain(rows: DataFrame) -> DataFrame:
+        group = Window.partitionBy(*keys)
+        ordered = group.orderBy(*order_columns(order_by))
+        ranked = rows.withColumns(
+            {
+                "_before": F.sum("value_rows").over(ordered.rowsBetween(Window.unboundedPreceding, -1)),
+                "_dense": F.row_number().over(ordered),
+                "group_rows": F.sum("value_rows").over(group),
+            }
+        )
+        return shaped(ranked, before, F.col("_dense"))
+
+    def split(rows: DataFrame) -> DataFrame:
+        placed = _split_numbering(rows, keys, order_by, policy, distinct=True)
+        inside = (
+            Window.partitionBy(*keys, "_part")
+            .orderBy("_position")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        group = Window.partitionBy(*[f"_carry_{k}" for k in keys])
+        earlier = group.orderBy("_carry_part").rowsBetween(Window.unboundedPreceding, -1)
+        # One row per (hot group, range partition).
+        carry = (
+            placed.groupBy(*keys, "_part")
+            .agg(F.sum("value_rows").alias("_sum"))
+            .select(
+                *[F.col(k).alias(f"_carry_{k}") for k in keys],
+                F.col("_part").alias("_carry_part"),
+                "_sum",
+            )
+            .withColumns(
+                {
+                    "_carry": F.coalesce(F.sum("_sum").over(earlier), F.lit(0)),
+                    "group_rows": F.sum("_sum").over(group),
+                }
+            )
+        )
+        match = null_safe_match(
+            placed, carry, [("_part", "_carry_part"), *[(k, f"_carry_{k}") for k in keys]]
+        )
+        ranked = placed.join(F.broadcast(carry), match).withColumn(
+            "_before", F.sum("value_rows").over(inside)
+        )
+        return shaped(ranked, F.col("_carry") + before, F.col("_group_row"))
+
+    return per_group(counts, keys, plain, split, policy)

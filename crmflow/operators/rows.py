@@ -36,7 +36,7 @@ def sort_rows(
     """
     order = [*order_columns(order_by), F.col("_hash")]
     hashed = row_hash(df)
-    if has_hot_copies(df, policy):
+    if has_hot_copies(df, order_by, policy):
         chunks = chunk_copies(df, df.columns).withColumn("_hash", hashed)
         return (
             chunks.orderBy(*order, "_chunk")

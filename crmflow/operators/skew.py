@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 @dataclass(frozen=True)
@@ -20,13 +20,15 @@ class SkewPolicy:
     rows_per_task    a group above this many rows is hot
     probe_fraction   share of the rows the probe looks at
     max_hot_groups   at most this many groups are treated as hot
-    broadcast_rows   a table up to this many rows may be broadcast
+    broadcast_rows   a table up to this many rows …
+    broadcast_bytes  … and this many bytes may be broadcast
     """
 
     rows_per_task: int = 20_000_000
     probe_fraction: float = 0.01
     max_hot_groups: int = 10_000
     broadcast_rows: int = 1_000_000
+    broadcast_bytes: int = 128 * 1024 * 1024
     seed: int = 17
 
 
@@ -75,9 +77,25 @@ def split_hot(
     return df.join(marks, match, "left_semi"), df.join(marks, match, "left_anti")
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row's values take."""
+    sizes: list[Column] = []
+    for field in df.schema.fields:
+        kind = field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            sizes.append(F.octet_length(field.name))
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.octet_length(F.to_json(F.struct(field.name))))
+    return reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), sizes, F.lit(8 * len(df.columns)))
+
+
 def fits_broadcast(df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> bool:
-    """True when ``df`` is proven to have at most ``broadcast_rows`` rows."""
-    return df.limit(policy.broadcast_rows + 1).count() <= policy.broadcast_rows
+    """True when ``df`` is measured to stay within the policy's broadcast rows and bytes."""
+    measured = df.limit(policy.broadcast_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df).cast("bigint")).alias("bytes")
+    )
+    found = measured.first()
+    return found["rows"] <= policy.broadcast_rows and (found["bytes"] or 0) <= policy.broadcast_bytes
 
 
 def join_unique(

@@ -16,6 +16,7 @@ def build_campaign_performance(insights: DataFrame) -> DataFrame:
     """
     confirmed = F.coalesce(F.col("order_confirmed"), F.lit(False))
     value, profit = units(F.col("order_value")), units(F.col("total_profit"))
+    income = units(F.col("monthly_income"))
     totals = insights.groupBy("campaign_source").agg(
         F.count(F.lit(1)).alias("total_sessions"),
         F.count_distinct("customer_id").alias("unique_customers"),
@@ -26,8 +27,8 @@ def build_campaign_performance(insights: DataFrame) -> DataFrame:
         F.sum(F.when(confirmed, profit).otherwise(0)).alias("_profit"),
         F.count_if("order_returned").alias("returns"),
         F.avg("age").alias("avg_customer_age"),
-        F.sum(units(F.col("monthly_income"))).alias("_income"),
-        F.count("monthly_income").alias("_incomes"),
+        F.sum(income).alias("_income"),
+        F.count(income).alias("_incomes"),
     )
     sessions, conversions = F.col("total_sessions"), F.col("conversions")
     revenue, earned = from_units(F.col("_revenue")), from_units(F.col("_profit"))

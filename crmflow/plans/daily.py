@@ -17,7 +17,7 @@ def daily_aggregates(unique_customers: Column) -> list[Column]:
     online, instore = F.col("channel") == "online", F.col("channel") == "instore"
     return [
         F.count(F.lit(1)).alias("total_transactions"),
-        F.count("amount").alias("_amounts"),
+        F.count(amount).alias("_amounts"),
         F.sum(amount).alias("_revenue"),
         unique_customers.alias("unique_customers"),
         F.count_if(online).alias("online_transactions"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import traceback
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -40,31 +40,40 @@ def _run(
 
 def ingest_files(
     tables: LayerTables,
-    files: Mapping[str, str],
+    files: Mapping[str, str | Sequence[str]],
     mode: str = "overwrite",
     ingested_at: datetime | None = None,
     ingested_on: date | None = None,
 ) -> DataFrame:
-    """Read each CSV (``table -> path``) into the raw layer with lineage; returns the report."""
+    """Read the CSV files of each table (``table -> path or paths``) into the raw layer; returns the report.
+
+    Each row carries the file it came from. Types are inferred over all files of a table.
+    """
     tables.create("bronze")
 
-    def step(table: str, path: str) -> Callable[[], int]:
+    def step(table: str, paths: str | Sequence[str]) -> Callable[[], int]:
         def run() -> int:
-            raw = add_lineage(read_csv(tables.spark, path), path, ingested_at, ingested_on)
-            return tables.write(raw, table, "bronze", mode, partition_by=["_ingestion_date"])
+            raw = read_csv(tables.spark, paths)
+            stamped = add_lineage(raw, F.col("_metadata.file_path"), ingested_at, ingested_on)
+            return tables.write(stamped, table, "bronze", mode, partition_by=["_ingestion_date"])
 
         return run
 
-    return _run(tables.spark, {t: (path, step(t, path)) for t, path in files.items()})
+    def source(paths: str | Sequence[str]) -> str:
+        return paths if isinstance(paths, str) else ", ".join(paths)
+
+    return _run(tables.spark, {t: (source(paths), step(t, paths)) for t, paths in files.items()})
 
 
 def ingest_folder(tables: LayerTables, base_path: str, **options) -> DataFrame:
-    """Ingest every CSV file below a folder under its table name."""
+    """Ingest every CSV file below a folder; files of the same table name go into one table."""
     found = discover_csv(tables.spark, base_path).select(
         table_name(file_name(F.col("path"))).alias("table"), "path"
     )
-    # One row per file, needed on the driver to plan one write each.
-    return ingest_files(tables, {row["table"]: row["path"] for row in found.collect()}, **options)
+    by_table = found.groupBy("table").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    # Paths only: the reader keeps the list of its files on the driver in any case.
+    files = {row["table"]: row["paths"] for row in by_table.collect()}
+    return ingest_files(tables, files, **options)
 
 
 def conform_layer(
@@ -72,10 +81,12 @@ def conform_layer(
     as_of: AsOf,
     key_type: str = "int",
     deduplicate_transactions: bool = False,
+    partition_transactions_by: Sequence[str] = ("transaction_year", "transaction_month"),
 ) -> DataFrame:
     """Build every cleaned table whose raw table exists; returns the report.
 
-    Exact duplicates are removed first, except in the transactions, where that is a switch.
+    Exact duplicates are removed first, except in the transactions, where that is a
+    switch. Transactions are stored by month, so that reports on a period read only it.
     """
     tables.create("silver")
 
@@ -113,7 +124,9 @@ def conform_layer(
         def run() -> int | None:
             if not all(tables.exists(s, "bronze") for s in sources):
                 return None
-            return tables.write(conform.stamp(build(), "_silver_timestamp"), table, "silver")
+            stamped = conform.stamp(build(), "_silver_timestamp")
+            partitions = partition_transactions_by if table == "transactions" else ()
+            return tables.write(stamped, table, "silver", partition_by=partitions)
 
         return run
 

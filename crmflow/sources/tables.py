@@ -87,11 +87,12 @@ class LayerTables:
             df = materialize(df, f"{layer}-{table}")
         if mode == "append" and self.exists(table, layer):
             df = self._evolve(df, name)
-        observation = Observation()
-        counted = df.observe(observation, F.count(F.lit(1)).alias("rows"))
         if partition_by:
             # Files per partition value: adaptive execution splits a large one and merges small ones.
-            counted = counted.hint("rebalance", *partition_by)
+            df = df.hint("rebalance", *partition_by)
+        # Counted in the writing stage itself, where a repeated task counts once.
+        observation = Observation()
+        counted = df.observe(observation, F.count(F.lit(1)).alias("rows"))
         counted.write.format("parquet").mode(mode).partitionBy(*partition_by).saveAsTable(name)
         return observation.get["rows"]
 

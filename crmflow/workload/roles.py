@@ -21,13 +21,18 @@ def _div(a: Column, b: Column | int) -> Column:
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
 
 
+_SIZES: dict[tuple[str, str], int] = {}
+
+
 def _size(spark: SparkSession, sf_dir: str, name: str, key: str) -> Column:
-    """Number of keys of a table whose keys start at 0, as a subquery."""
-    return table(spark, sf_dir, name).agg((F.max(key) + 1).alias("n")).scalar()
+    """Number of keys of a table whose keys start at 0; looked up once per process."""
+    if (sf_dir, name) not in _SIZES:
+        _SIZES[sf_dir, name] = table(spark, sf_dir, name).agg(F.max(key)).first()[0] + 1
+    return F.lit(_SIZES[sf_dir, name]).cast("bigint")
 
 
 def _cents(price: str) -> Column:
-    return F.round(F.col(price) * 100).cast("bigint")
+    return F.rint(F.col(price) * 100).cast("bigint")
 
 
 def _choose(column: Column, values: dict[object, object], otherwise: object) -> Column:

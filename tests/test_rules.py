@@ -366,3 +366,34 @@ def test_upsert_latest_wins(spark):
     changes = spark.createDataFrame([(1, 2, "new"), (2, 4, "late"), (3, 1, "won"), (4, 1, "added")], schema)
     merged = rows.upsert(current, changes, ["k"], "v")
     assert values(merged) == [(1, 2, "new"), (2, 5, "kept"), (3, 1, "won"), (4, 1, "added")]
+
+
+def test_find_replace_with_very_many_keys(spark):
+    """Above the number of keys that are tried per row, the substring join gives the same."""
+    texts = spark.range(300).select(F.concat(F.lit("k"), F.col("id") % 40, F.lit("-k"), F.col("id")).alias("t"))
+    many = spark.range(600).select(F.concat(F.lit("k"), F.col("id")).alias("f"), F.concat(F.lit("<"), "id", F.lit(">")).alias("n"))
+
+    def longest(value, mode):
+        keys = [f"k{i}" for i in range(600)]
+        fitting = [k for k in keys if (value.startswith(k) if mode == "start" else k in value)]
+        if not fitting:
+            return value
+        best = sorted(fitting, key=lambda k: (-len(k), k))[0]
+        new = f"<{best[1:]}>"
+        return new + value[len(best):] if mode == "start" else value.replace(best, new)
+
+    given = [r["t"] for r in texts.collect()]
+    for mode in ("start", "any"):
+        found = joins.find_replace(texts, "t", many, "f", "n", mode=mode)
+        assert sorted(r["t"] for r in found.collect()) == sorted(longest(v, mode) for v in given)
+        small = joins.find_replace(texts, "t", many.where("f IN ('k1', 'k12')"), "f", "n", mode=mode)
+        assert small.count() == 300
+
+
+def test_broadcast_check_measures_rows_and_bytes(spark):
+    from crmflow.operators.skew import SkewPolicy, fits_broadcast
+
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("t"), F.array("id").alias("a"))
+    assert fits_broadcast(wide)
+    assert not fits_broadcast(wide, SkewPolicy(broadcast_rows=9))
+    assert not fits_broadcast(wide, SkewPolicy(broadcast_bytes=5_000))
