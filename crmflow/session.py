@@ -17,6 +17,8 @@ COMMON_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Several driver round trips per column expression, only to name a line in errors.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 from crmflow.operators import aggregate, joins, ordering, quality, ranking, rows
 from crmflow.operators.aggregate import Summary
 from crmflow.operators.skew import SkewPolicy, hot_groups, join_unique
+from crmflow.storage import materialize
 from tests.conftest import values
 
 # So small that ordinary test groups count as hot.
@@ -26,7 +27,7 @@ def sales(spark):
     )
     copy = spark.createDataFrame([(0, 3, 5, "same")], df.schema)
     copies = copy.crossJoin(spark.range(60).select()).select(*df.columns)
-    return df.unionByName(copies).repartition(5)
+    return materialize(df.unionByName(copies).repartition(5), "sales")
 
 
 def order(*keys):
@@ -213,3 +214,18 @@ def test_concat_and_median_of_hot_groups(sales, policy):
     assert parts.agg(F.max(F.size(F.split("text", ",")))).first()[0] == 10
     median = quality.exact_median(sales, "v", policy).first()["median"]
     assert median == sales.agg(F.expr("percentile(v, 0.5)")).first()[0]
+
+
+@pytest.mark.parametrize("policy", [SPLIT, SkewPolicy()])
+def test_value_ranks_per_group(sales, policy):
+    found = ordering.value_ranks(sales, [("v", "desc")], ["k"], policy)
+    ties = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last())
+    expected = sales.select(
+        "k",
+        "v",
+        F.rank().over(ties).cast("bigint"),
+        F.dense_rank().over(ties).cast("bigint"),
+        F.count(F.lit(1)).over(Window.partitionBy("k", "v")),
+        F.count(F.lit(1)).over(Window.partitionBy("k")),
+    ).distinct()
+    assert values(found) == values(expected)
