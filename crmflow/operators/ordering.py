@@ -53,19 +53,28 @@ def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     return F.xxhash64(*[F.col(c) for c in (columns or df.columns)])
 
 
-def chunk_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Collapse identical rows to chunks of bounded size: adds ``_chunk`` and ``_copies``."""
+def task_count(df: DataFrame) -> int:
+    """Partitions of an exchange that adaptive execution must not merge: its rows multiply behind it."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def number_copies(df: DataFrame) -> DataFrame:
+    """The same rows with ``_chunk`` and ``_copy``, which tell identical rows apart.
+
+    Copies are counted before the shuffle and unrolled behind it in chunks of bounded
+    size, so however many there are of one row, they spread over all tasks.
+    """
+    chunk = _COPIES_PER_CHUNK
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_total"))
+    chunks = counted.withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_total - 1) div {chunk}")))
+    )
+    size = F.least(F.lit(chunk), F.col("_total") - F.col("_chunk") * chunk).cast("bigint")
     return (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_total"))
-        .withColumn(
-            "_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_total - 1) div {_COPIES_PER_CHUNK}")))
-        )
-        .withColumn(
-            "_copies",
-            F.least(F.lit(_COPIES_PER_CHUNK), F.col("_total") - F.col("_chunk") * _COPIES_PER_CHUNK),
-        )
-        .drop("_total")
+        chunks.withColumn("_size", size)
+        .repartition(task_count(df), row_hash(df), F.col("_chunk"))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))))
+        .drop("_total", "_size")
     )
 
 
@@ -92,35 +101,33 @@ def global_positions(
     identical, which saves looking for copies.
     """
     columns = df.columns
-    order = order_columns(order_by) + [F.col("_hash")]
-    copies = not distinct and has_hot_copies(df, order_by, policy)
-    rows = chunk_copies(df, columns) if copies else df
-    rows = rows.withColumn("_hash", row_hash(df))
-    if copies:
-        order.append(F.col("_chunk"))
+    order = [*order_columns(order_by), F.col("_hash")]
+    rows = df
+    if not distinct and has_hot_copies(df, order_by, policy):
+        rows = number_copies(df)
+        order += [F.col("_chunk"), F.col("_copy")]
     stored = materialize(
-        rows.repartitionByRange(*order)
+        rows.withColumn("_hash", row_hash(df))
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id()),
         "ordered",
     )
-    stored = stored.withColumn("_part", F.shiftright("_slot", _PLACE_BITS))
-    if copies:
-        inside = Window.partitionBy("_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-        sizes = stored.groupBy("_part").agg(F.sum("_copies").alias("_rows"))
-        stored = (
-            stored.withColumn("_start", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-            .withColumn("_place", F.col("_start") + F.col("_copy"))
-        )
-    else:
-        stored = stored.withColumn("_place", F.col("_slot").bitwiseAND(F.lit(_PLACE_MASK)) + 1)
-        sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = stored.withColumns(
+        {
+            "_part": F.shiftright("_slot", _PLACE_BITS),
+            "_place": F.col("_slot").bitwiseAND(F.lit(_PLACE_MASK)) + 1,
+        }
+    )
     # One row per range partition, so this window and the broadcast stay small.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    offsets = (
+        placed.groupBy("_part")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    )
     return (
-        stored.join(F.broadcast(offsets), "_part")
+        placed.join(F.broadcast(offsets), "_part")
         .withColumn("_position", F.col("_before") + F.col("_place"))
         .select(*columns, "_part", "_place", "_position")
     )

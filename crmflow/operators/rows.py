@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crmflow.operators.ordering import (
     OrderKey,
-    chunk_copies,
     has_hot_copies,
+    number_copies,
     number_rows,
     order_columns,
     row_hash,
+    task_count,
 )
 from crmflow.operators.skew import DEFAULT_POLICY, SkewPolicy
 
@@ -31,19 +32,15 @@ def sort_rows(
 ) -> DataFrame:
     """Global sort with a repeatable order among ties.
 
-    The content hash lets equal sort keys span range partitions; identical rows
-    too many for one task are sorted as bounded chunks and unrolled in place.
+    The content hash lets equal sort keys span range partitions; identical rows too
+    many for one task are numbered first, so that they can, too.
     """
     order = [*order_columns(order_by), F.col("_hash")]
-    hashed = row_hash(df)
+    rows = df
     if has_hot_copies(df, order_by, policy):
-        chunks = chunk_copies(df, df.columns).withColumn("_hash", hashed)
-        return (
-            chunks.orderBy(*order, "_chunk")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-            .select(*df.columns)
-        )
-    return df.withColumn("_hash", hashed).orderBy(*order).drop("_hash")
+        rows = number_copies(df)
+        order += [F.col("_chunk"), F.col("_copy")]
+    return rows.withColumn("_hash", row_hash(df)).orderBy(*order).select(*df.columns)
 
 
 def top_k(df: DataFrame, order_by: Sequence[OrderKey], k: int) -> DataFrame:
@@ -125,17 +122,38 @@ def unique_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[OrderKey]
 
 
 def generate_rows(
-    df: DataFrame, name: str, start: Column | int, stop: Column | int, step: Column | int = 1
+    df: DataFrame,
+    name: str,
+    start: Column | int,
+    stop: Column | int,
+    step: Column | int = 1,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """One row per value of start, start + step, … up to stop, for each input row.
 
-    A row whose start lies beyond its stop gives none.
+    A row whose start lies beyond its stop gives none. If one input row gives more
+    than a task should take, its values are made in chunks on many tasks.
     """
     first, last, by = [
         (v if isinstance(v, Column) else F.lit(v)).cast("bigint") for v in (start, stop, step)
     ]
+    by = F.nullif(by, F.lit(0).cast("bigint"))
     runs = F.when(by > 0, first <= last).when(by < 0, first >= last).otherwise(F.lit(False))
-    return df.where(runs).withColumn(name, F.explode(F.sequence(first, last, by)))
+    # NULL rather than an error where constants give an impossible sequence.
+    first = F.when(runs, first)
+    steps = F.call_function("div", last - first, by)
+    bounded = df.where(runs).withColumns({"_first": first, "_last": last, "_by": by, "_steps": steps})
+    longest = bounded.agg(F.max("_steps")).first()[0]
+    if longest is not None and longest >= policy.rows_per_task:
+        size = policy.rows_per_task
+        chunks = bounded.withColumn(
+            "_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"_steps div {size}")))
+        ).repartition(task_count(df), row_hash(df), F.col("_chunk"))
+        begin = F.col("_first") + F.col("_chunk") * size * F.col("_by")
+        end = begin + F.least(F.lit(size - 1), F.col("_steps") - F.col("_chunk") * size) * F.col("_by")
+        bounded = chunks.withColumns({"_first": begin, "_last": end})
+    value = F.explode(F.sequence("_first", "_last", "_by"))
+    return bounded.withColumn(name, value).select(*[c for c in df.columns if c != name], name)
 
 
 def upsert(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from crmflow.functions import scalar
 from crmflow.operators import aggregate, filters, joins, project, quality, rows, text
 from crmflow.operators.aggregate import Summary
+from crmflow.operators.skew import SkewPolicy
 from crmflow.plans import bands, conform, segments
 from crmflow.plans.bands import label
 from crmflow.plans.campaigns import build_campaign_performance
@@ -358,6 +359,12 @@ def test_generate_rows_limits(spark):
     assert sorted(r["n"] for r in up.collect()) == [1, 2, 2, 3]
     down = rows.generate_rows(df, "n", F.col("a"), F.col("b"), -2)
     assert sorted(r["n"] for r in down.collect()) == [2, 3, 5]
+    none = rows.generate_rows(df, "n", 1, 9, 0)
+    assert none.count() == 0
+    chunked = SkewPolicy(rows_per_task=4)
+    for stop, step in ((30, 3), (-31, -3), (4, 1), (3, 1)):
+        long = rows.generate_rows(df, "n", F.lit(0), stop, step, chunked)
+        assert sorted(r["n"] for r in long.collect()) == sorted(3 * list(range(0, stop + (1 if step > 0 else -1), step)))
 
 
 def test_upsert_latest_wins(spark):
@@ -391,7 +398,7 @@ def test_find_replace_with_very_many_keys(spark):
 
 
 def test_broadcast_check_measures_rows_and_bytes(spark):
-    from crmflow.operators.skew import SkewPolicy, fits_broadcast
+    from crmflow.operators.skew import fits_broadcast
 
     wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("t"), F.array("id").alias("a"))
     assert fits_broadcast(wide)
