@@ -32,7 +32,7 @@ def test_global_order_has_no_single_task_window(spark, small, name):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             below = next(text for text in lines[i + 1 :] if "HashAggregate" in text or "Scan" in text)
-            assert re.search(r"HashAggregate\(keys=\[(_part#\d+L?)?\]", below), below
+            assert re.search(r"HashAggregate\(keys=\[((_part|_bucket)#\d+L?)?\]", below), below
 
 
 def test_rollups_combine_before_the_shuffle(spark, small):

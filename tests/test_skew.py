@@ -110,10 +110,25 @@ def test_rank_rows(sales, groups, buckets):
     assert values(split.groupBy(*groups, "ntile").count()) == values(plain_tiles.groupBy(*groups, "n").count())
 
 
-def test_percent_rank_with_ties_and_nulls(sales):
-    expected = sales.withColumn("p", F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_first())))
+@pytest.mark.parametrize("key", ["v", ("v", "desc"), "t"])
+def test_percent_rank_with_ties_and_nulls(sales, key):
+    order_by = ordering.order_columns([key])
+    expected = sales.withColumn("p", F.percent_rank().over(Window.orderBy(*order_by)))
     for policy in (SPLIT, SkewPolicy()):
-        assert values(ranking.percent_rank(sales, ["v"], "p", policy)) == values(expected)
+        assert values(ranking.percent_rank(sales, [key], "p", policy)) == values(expected)
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "bigint", "decimal(12,3)"])
+def test_percent_rank_of_numbers(spark, kind):
+    """Mostly zeros, negatives, NULLs, and for doubles an infinity and NaN."""
+    ids = spark.range(3000)
+    mixed = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 31 != 1, (F.col("id") * 7919 % 1013 - 500) / 8)
+    df = ids.select(mixed.cast(kind).alias("x"))
+    if kind == "double":
+        df = df.unionByName(spark.sql("SELECT CAST(s AS DOUBLE) AS x FROM VALUES ('Infinity'), ('NaN'), ('-Infinity'), ('NaN') AS t(s)"))
+    expected = df.withColumn("p", F.percent_rank().over(Window.orderBy("x")))
+    found = ranking.percent_rank(df, ["x"], "p")
+    assert list(map(repr, values(found))) == list(map(repr, values(expected)))
 
 
 def test_percent_rank_of_few_rows(spark):
