@@ -16,15 +16,15 @@ LAYERS = {"bronze": "bronze", "silver": "silver", "gold": "gold"}
 def add_lineage(
     df: DataFrame,
     source: str | Column,
-    ingested_at: datetime | None = None,
-    ingested_on: date | None = None,
+    ingested_at: datetime | Column | None = None,
+    ingested_on: date | Column | None = None,
 ) -> DataFrame:
     """Adds ``_source_file``, ``_ingestion_timestamp`` and ``_ingestion_date`` (default: now)."""
     return df.withColumns(
         {
             "_source_file": F.lit(source) if isinstance(source, str) else source,
-            "_ingestion_timestamp": F.lit(ingested_at) if ingested_at else F.current_timestamp(),
-            "_ingestion_date": F.lit(ingested_on) if ingested_on else F.current_date(),
+            "_ingestion_timestamp": F.current_timestamp() if ingested_at is None else F.lit(ingested_at),
+            "_ingestion_date": F.current_date() if ingested_on is None else F.lit(ingested_on),
         }
     )
 

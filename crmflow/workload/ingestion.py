@@ -199,7 +199,9 @@ def src_table_naming(spark: Session, sf_dir: str) -> DataFrame:
 )
 def ingest_lineage(spark: Session, sf_dir: str) -> DataFrame:
     source = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    stamped = layer_tables.add_lineage(table(spark, sf_dir, "customer"), source, INGESTED_AT, INGESTED_ON)
+    # As text the time is that of the session's zone, wherever the driver runs.
+    at = F.lit(INGESTED_AT.isoformat()).cast("timestamp")
+    stamped = layer_tables.add_lineage(table(spark, sf_dir, "customer"), source, at, INGESTED_ON)
     return stamped.withColumn("_ingestion_timestamp", F.col("_ingestion_timestamp").cast("timestamp_ntz"))
 
 
