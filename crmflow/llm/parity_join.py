@@ -50,6 +50,8 @@ COMMON_COUNT = 8
 MAX_COMMON = 1_000_000
 #: Members of a bucket compared in one step; larger buckets are cut in blocks.
 BLOCK_MEMBERS = 1000
+#: Bits of the bitmap that tells texts to fetch from most others (1 MB).
+_FILTER_BITS = 1 << 23
 #: Below this size every shingle gets a word of its own.
 _SMALL_BAND = 128
 
@@ -117,20 +119,21 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def set_profile(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Per row: id, text_key, size of the set and its class (0 if empty)."""
+    """Per row: id, text_key, size of the set, its class (0 if empty) and its bit sketch."""
     rows = _keyed(docs, id_column, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(s), set_class(s)) for s in _sets(batch.column(2))]
-            sizes, classes = zip(*found) if found else ((), ())
+            found = [(len(s), set_class(s), bit_sketch(s)) for s in _sets(batch.column(2))]
+            kinds = (pa.int64(), pa.int64(), pa.binary())
+            columns = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())],
-                ["id", "text_key", "n", "class"],
+                [*batch.columns[:2], *[pa.array(c, k) for c, k in zip(columns, kinds)]],
+                ["id", "text_key", "n", "class", "sketch"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_key bigint, n bigint, class bigint")
+    return rows.mapInArrow(run, f"id {kind}, text_key bigint, n bigint, class bigint, sketch binary")
 
 
 def common_shingles(docs: DataFrame, id_column: str, text_column: str) -> np.ndarray:
@@ -236,21 +239,36 @@ def buckets_of(
     return found.distinct()
 
 
-def fetch_texts(docs: DataFrame, classes: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Adds text and bit sketch to rows (class, id, text_key, n, copies)."""
-    wanted = classes.withColumnsRenamed({"id": "_id", "text_key": "_key"})
-    rows = _keyed(docs, id_column, text_column)
-    found = rows.join(wanted, (rows["id"] == wanted["_id"]) & (rows["text_key"] == wanted["_key"]))
+def fetch_texts(
+    docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_column: str, text_column: str
+) -> DataFrame:
+    """Class and text for the classes that ``wanted`` names.
+
+    A bitmap of fixed size over the text keys keeps most other texts out of the shuffle.
+    """
+    chosen = classes.join(wanted, "class").select(
+        "class", F.col("id").alias("_id"), F.col("text_key").alias("_key")
+    )
+    chosen = materialize(chosen, "wanted")
+    bit = F.pmod("_key", F.lit(_FILTER_BITS))
+    flags = chosen.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))).alias("bits")
+    )
+    flags = flags.toPandas()
+    bitmap = np.zeros(_FILTER_BITS >> 6, np.uint64)
+    bitmap[flags["word"].to_numpy(np.int64)] = flags["bits"].to_numpy(np.int64).view(np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketches = [bit_sketch(s) for s in _sets(batch.column(3))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sketches, pa.binary())], [*batch.schema.names, "sketch"]
-            )
+            at = batch.column(1).to_numpy(zero_copy_only=False) % _FILTER_BITS
+            there = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            yield batch.filter(pa.array(there))
 
-    schema = "class bigint, n bigint, copies bigint, text string, sketch binary"
-    return found.select("class", "n", "copies", "text").mapInArrow(run, schema)
+    rows = _keyed(docs, id_column, text_column)
+    rows = rows.mapInArrow(run, rows.schema)
+    same = (rows["id"] == chosen["_id"]) & (rows["text_key"] == chosen["_key"])
+    return rows.join(chosen, same).select("class", "text")
 
 
 def _folded(sketch: bytes, words: int) -> np.ndarray:
@@ -291,22 +309,25 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
 
-def verify(pairs: DataFrame, texts: DataFrame, percent: int, sketched: bool) -> DataFrame:
-    """The pairs (a, b) that are links; ``sketched``: their bit sketches were compared already."""
+def _with_both(pairs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns of both ends of each pair, by class."""
+    for side in ("a", "b"):
+        own = rows.select(F.col("class").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
+        pairs = pairs.join(own, side)
+    return pairs.select("a", "b", *[f"{side}_{c}" for c in columns for side in ("a", "b")])
 
-    def with_both(rows: DataFrame, columns: list[str]) -> DataFrame:
-        for side in ("a", "b"):
-            own = texts.select(F.col("class").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
-            rows = rows.join(own, side)
-        return rows.select("a", "b", *[f"{side}_{c}" for c in columns for side in ("a", "b")])
 
-    if not sketched:
-        near = with_both(pairs, ["n", "sketch"])
-        near = near.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
-        near = near.mapInArrow(lambda b: _passes(b, percent), "a bigint, b bigint")
-        pairs = materialize(near, "near")
-    compared = with_both(pairs, ["text"])
-    return compared.mapInArrow(lambda b: _verified(b, percent), "a bigint, b bigint")
+def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and bit sketches do not rule out."""
+    near = _with_both(pairs, classes, ["n", "sketch"])
+    near = near.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
+    return near.mapInArrow(lambda batches: _passes(batches, percent), "a bigint, b bigint")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are links."""
+    compared = _with_both(pairs, texts, ["text"])
+    return compared.mapInArrow(lambda batches: _verified(batches, percent), "a bigint, b bigint")
 
 
 def _leader_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -369,7 +390,7 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
         yield out(found)
 
 
-def _cross_pairs(buckets: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _cross_pairs(buckets: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket in different components that their sketches do not rule out."""
     known = labels.select(F.col("node").alias("class"), "component")
     members = buckets.join(known, "class", "left").select(
@@ -387,7 +408,7 @@ def _cross_pairs(buckets: DataFrame, labels: DataFrame, texts: DataFrame, percen
         members.join(mixed, "bucket")
         .withColumn("side", side)
         .withColumn("other", other)
-        .join(texts.select("class", "n", "sketch"), "class")
+        .join(classes.select("class", "n", "sketch"), "class")
         .select(
             "bucket",
             F.least("side", "other").alias("low"),
@@ -426,20 +447,23 @@ def near_duplicates(
         .agg(
             F.min(F.struct("id", "text_key")).alias("first"),
             F.max("n").alias("n"),
+            F.max("sketch").alias("sketch"),
             F.count(F.lit(1)).alias("copies"),
         )
-        .select("class", "first.id", "first.text_key", "n", "copies")
+        .select("class", "first.id", "first.text_key", "n", "sketch", "copies")
     )
     classes = materialize(classes, "classes")
-    met = classes.join(buckets.select("class").distinct(), "class")
-    texts = materialize(fetch_texts(docs, met, id_column, text_column), "texts")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        texts = materialize(fetch_texts(docs, classes, ends, id_column, text_column), "texts")
+        return verify(pairs, texts, percent)
 
     leader_pairs = materialize(_leader_pairs(buckets, classes), "leaders")
-    links = materialize(verify(leader_pairs, texts, percent, sketched=False), "links")
+    links = materialize(linked(materialize(plausible(leader_pairs, classes, percent), "near")), "links")
     labels = components(links)
-    crossing = _cross_pairs(buckets, labels, texts, percent).join(leader_pairs, ["a", "b"], "left_anti")
-    crossing = materialize(crossing, "crossing")
-    more = verify(crossing, texts, percent, sketched=True)
+    crossing = _cross_pairs(buckets, labels, classes, percent).join(leader_pairs, ["a", "b"], "left_anti")
+    more = linked(materialize(crossing, "crossing"))
     labels = components(links.unionAll(more))
 
     component = F.coalesce("component", "class")

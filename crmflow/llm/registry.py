@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,5 +25,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def name_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Workers on other machines need it installed or shipped (``--py-files``) in any case.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(":")
+    if root not in known:
+        environment["PYTHONPATH"] = ":".join([root, *filter(None, known)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    name_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
