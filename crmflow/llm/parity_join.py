@@ -32,26 +32,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from crmflow.llm.components import components
+from pyspark.sql import DataFrame, Window, functions as F
+
+from crmflow.llm.similar_sets import (
+    bit_sketch,
+    find_buckets,
+    in_bitmap,
+    key_bitmap,
+    link_classes,
+    set_class,
+)
 from crmflow.llm.text import mix, shingle_sets, text_slices
 from crmflow.storage import materialize
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-#: Words of one group in the bucket search, and those a task packs at once.
-GROUP_WORDS = 4_000_000
-PACK_WORDS = 2_000_000
 #: One row in so many is looked at for common shingles; found so often there, one is common.
 SAMPLE_ONE_IN = 32
 COMMON_COUNT = 8
 #: Common shingles that are broadcast (8 bytes each); further ones only cost time.
 MAX_COMMON = 1_000_000
-#: Members of a bucket compared in one step; larger buckets are cut in blocks.
-BLOCK_MEMBERS = 1000
-#: Bits of the bitmap that tells texts to fetch from most others (1 MB).
-_FILTER_BITS = 1 << 23
 #: Below this size every shingle gets a word of its own.
 _SMALL_BAND = 128
 
@@ -93,21 +93,6 @@ def sketch_words(shingles: np.ndarray, common: np.ndarray, bounds: np.ndarray, p
     return np.concatenate(found)
 
 
-def bit_sketch(shingles: np.ndarray) -> bytes:
-    """One parity bit per place, two places or more per shingle; a power of two, so sketches fold."""
-    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
-    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
-    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
-
-
-def set_class(shingles: np.ndarray) -> int:
-    """A signed 64-bit hash of a set."""
-    if not len(shingles):
-        return 0
-    total = mix(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))
-    return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
-
-
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
     for _, _, data, offsets in text_slices(column):
         yield from shingle_sets(data, offsets, SHINGLE_WORDS)
@@ -152,91 +137,21 @@ def common_shingles(docs: DataFrame, id_column: str, text_column: str) -> np.nda
     return np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
-def _pack(classes: list, words: list, groups: int) -> pa.RecordBatch:
-    """One row per group of word hashes: its classes, how many words each has, and the words."""
-    all_words = np.concatenate(words)
-    owner = np.repeat(np.arange(len(classes)), [len(w) for w in words])
-    group = ((all_words >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)
-    order = np.argsort(group, kind="stable")
-    group, owner, low = group[order], owner[order], all_words[order].astype(np.uint32)
-    names = np.array(classes, np.int64)
-    cuts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
-    rows = []
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        heads = np.flatnonzero(np.append(True, owner[a + 1 : b] != owner[a : b - 1]))
-        lengths = np.diff(np.append(heads, b - a)).astype(np.uint32)
-        rows.append((int(group[a]), names[owner[a:b][heads]].tobytes(), lengths.tobytes(), low[a:b].tobytes()))
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["part", "classes", "lengths", "words"]
-    )
-
-
-def _meet(table: pa.Table) -> pa.Table:
-    """The buckets of one group: where two or more classes have the same word."""
-    classes, words = [], []
-    for own, lengths, low in zip(*(table.column(c).to_pylist() for c in ("classes", "lengths", "words"))):
-        classes.append(np.repeat(np.frombuffer(own, np.int64), np.frombuffer(lengths, np.uint32)))
-        words.append(np.frombuffer(low, np.uint32))
-    word, member = np.concatenate(words), np.concatenate(classes)
-    del classes, words
-    ordered = np.sort(word)
-    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    del ordered
-    buckets, members = np.empty(0, np.int64), np.empty(0, np.int64)
-    if len(twice):
-        at = np.searchsorted(twice, word)
-        at[at == len(twice)] = 0
-        shared = twice[at] == word
-        word, member = word[shared], member[shared]
-        order = np.lexsort((member, word))
-        word, member = word[order], member[order]
-        fresh = np.append(True, (word[1:] != word[:-1]) | (member[1:] != member[:-1]))
-        word, member = word[fresh], member[fresh]
-        heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-        counts = np.diff(np.append(heads, len(word)))
-        # A bucket is named by its members, so equal buckets are one.
-        name = mix(np.add.reduceat(mix(member.view(np.uint64)), heads) + counts.astype(np.uint64))
-        _, first = np.unique(name, return_index=True)
-        kept = np.zeros(len(heads), bool)
-        kept[first] = True
-        kept &= counts > 1
-        rows = np.repeat(kept, counts)
-        buckets, members = np.repeat(name.view(np.int64), counts)[rows], member[rows]
-    return pa.table({"bucket": pa.array(buckets), "class": pa.array(members)})
-
-
 def buckets_of(
     docs: DataFrame, id_column: str, text_column: str, shingles: int, common: np.ndarray, percent: int
 ) -> DataFrame:
     """Rows (bucket, class): texts that agree in a word of their sketches."""
-    spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = max(1, tasks, -(-shingles // GROUP_WORDS))
-    bounds, shared = size_bounds(percent), spark.sparkContext.broadcast(common)
+    bounds, shared = size_bounds(percent), docs.sparkSession.sparkContext.broadcast(common)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
-        classes, words, held = [], [], 0
-        for batch in batches:
-            for found in _sets(batch.column(2)):
-                name = set_class(found)
-                if not len(found) or name in done:
-                    continue
+    def hashed(batch: pa.RecordBatch, done: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+        for found in _sets(batch.column(2)):
+            name = set_class(found)
+            if len(found) and name not in done:
                 done.add(name)
-                classes.append(name)
-                words.append(sketch_words(found, shared.value, bounds, percent))
-                held += len(words[-1])
-                if held >= PACK_WORDS:
-                    yield _pack(classes, words, groups)
-                    classes, words, held = [], [], 0
-        if classes:
-            yield _pack(classes, words, groups)
+                yield name, sketch_words(found, shared.value, bounds, percent)
 
     rows = _keyed(docs, id_column, text_column).filter("id IS NOT NULL")
-    packed = rows.mapInArrow(run, "part bigint, classes binary, lengths binary, words binary")
-    found = packed.groupBy("part").applyInArrow(_meet, "bucket bigint, class bigint")
-    return found.distinct()
+    return find_buckets(rows, hashed, shingles)
 
 
 def fetch_texts(
@@ -250,20 +165,12 @@ def fetch_texts(
         "class", F.col("id").alias("_id"), F.col("text_key").alias("_key")
     )
     chosen = materialize(chosen, "wanted")
-    bit = F.pmod("_key", F.lit(_FILTER_BITS))
-    flags = chosen.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))).alias("bits")
-    )
-    flags = flags.toPandas()
-    bitmap = np.zeros(_FILTER_BITS >> 6, np.uint64)
-    bitmap[flags["word"].to_numpy(np.int64)] = flags["bits"].to_numpy(np.int64).view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = key_bitmap(chosen, "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(1).to_numpy(zero_copy_only=False) % _FILTER_BITS
-            there = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-            yield batch.filter(pa.array(there))
+            keys = batch.column(1).to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(in_bitmap(shared.value, keys)))
 
     rows = _keyed(docs, id_column, text_column)
     rows = rows.mapInArrow(run, rows.schema)
@@ -271,164 +178,6 @@ def fetch_texts(
     return rows.join(chosen, same).select("class", "text")
 
 
-def _folded(sketch: bytes, words: int) -> np.ndarray:
-    bits = np.frombuffer(sketch, np.uint64)
-    while len(bits) > words:
-        half = len(bits) // 2
-        bits = bits[:half] ^ bits[half:]
-    return bits
-
-
-def _may_link(distance, total, percent: int):
-    return distance * (100 + percent) <= total * (100 - percent)
-
-
-def _passes(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, a_n, b_n, a_sketch, b_sketch) whose sketches do not rule out a link, as (a, b)."""
-    for batch in batches:
-        ones, twos, n, m, left, right = (column.to_pylist() for column in batch.columns)
-        kept = []
-        for i in range(batch.num_rows):
-            words = min(len(left[i]), len(right[i])) // 8
-            distance = int(np.bitwise_count(_folded(left[i], words) ^ _folded(right[i], words)).sum())
-            if _may_link(distance, n[i] + m[i], percent):
-                kept.append(i)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([ones[i] for i in kept], pa.int64()), pa.array([twos[i] for i in kept], pa.int64())],
-            ["a", "b"],
-        )
-
-
-def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, text of a, text of b) that are similar enough, as (a, b)."""
-    for batch in batches:
-        linked = []
-        for left, right in zip(_sets(batch.column(2)), _sets(batch.column(3))):
-            shared = len(np.intersect1d(left, right, assume_unique=True))
-            linked.append(100 * shared >= percent * (len(left) + len(right) - shared))
-        yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
-
-
-def _with_both(pairs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns of both ends of each pair, by class."""
-    for side in ("a", "b"):
-        own = rows.select(F.col("class").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
-        pairs = pairs.join(own, side)
-    return pairs.select("a", "b", *[f"{side}_{c}" for c in columns for side in ("a", "b")])
-
-
-def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that their sizes and bit sketches do not rule out."""
-    near = _with_both(pairs, classes, ["n", "sketch"])
-    near = near.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
-    return near.mapInArrow(lambda batches: _passes(batches, percent), "a bigint, b bigint")
-
-
-def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links."""
-    compared = _with_both(pairs, texts, ["text"])
-    return compared.mapInArrow(lambda batches: _verified(batches, percent), "a bigint, b bigint")
-
-
-def _leader_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each member of a bucket with the one that has most copies."""
-    members = buckets.join(classes.select("class", "copies", "n"), "class")
-    leaders = members.groupBy("bucket").agg(F.max(F.struct("copies", "class", "n")).alias("leader"))
-    return (
-        members.join(leaders, "bucket")
-        .filter(F.col("class") != F.col("leader.class"))
-        .select(
-            F.least("class", "leader.class").alias("a"), F.greatest("class", "leader.class").alias("b")
-        )
-        .distinct()
-    )
-
-
-def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of unlike labels within each block whose sketches do not rule out a link.
-
-    Rows (bucket, low, high, side, class, label, n, sketch) come sorted by block.
-    """
-
-    def pairs(rows: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        words = min(len(r[7]) for r in rows) // 8
-        sketches = np.stack([_folded(r[7], words) for r in rows])
-        side, name, label, size = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
-        crossed = rows[0][1] != rows[0][2]
-        for i in range(len(rows) - 1):
-            others = label[i + 1 :] != label[i]
-            if crossed:
-                others &= side[i + 1 :] != side[i]
-            least, most = np.minimum(size[i + 1 :], size[i]), np.maximum(size[i + 1 :], size[i])
-            others &= least * 100 >= most * percent
-            at = i + 1 + np.flatnonzero(others)
-            if len(at):
-                distance = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-                at = at[_may_link(distance, size[at] + size[i], percent)]
-                if len(at):
-                    yield np.minimum(name[at], name[i]), np.maximum(name[at], name[i])
-
-    def out(found: list) -> pa.RecordBatch:
-        both = np.unique(np.concatenate([np.stack(p) for p in found], axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
-
-    block, rows, found, held = None, [], [], 0
-    for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
-            if row[:3] != block:
-                if len(rows) > 1:
-                    found += pairs(rows)
-                    held = sum(len(p[0]) for p in found) if len(found) > 1000 else held
-                    if held or len(found) > 1000:
-                        yield out(found)
-                        found, held = [], 0
-                block, rows = row[:3], []
-            rows.append(row)
-    if len(rows) > 1:
-        found += pairs(rows)
-    if found:
-        yield out(found)
-
-
-def _cross_pairs(buckets: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components that their sketches do not rule out."""
-    known = labels.select(F.col("node").alias("class"), "component")
-    members = buckets.join(known, "class", "left").select(
-        "bucket", "class", F.coalesce("component", "class").alias("label")
-    )
-    mixed = (
-        members.groupBy("bucket")
-        .agg(F.min("label").alias("one"), F.max("label").alias("two"), F.count(F.lit(1)).alias("members"))
-        .filter("one <> two")
-        .select("bucket", F.expr(f"(members - 1) div {BLOCK_MEMBERS} + 1").alias("blocks"))
-    )
-    side = F.pmod(F.xxhash64("class"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    cut = (
-        members.join(mixed, "bucket")
-        .withColumn("side", side)
-        .withColumn("other", other)
-        .join(classes.select("class", "n", "sketch"), "class")
-        .select(
-            "bucket",
-            F.least("side", "other").alias("low"),
-            F.greatest("side", "other").alias("high"),
-            "side",
-            "class",
-            "label",
-            "n",
-            "sketch",
-        )
-    )
-    block = ["bucket", "low", "high"]
-    return (
-        cut.repartition(*block)
-        .sortWithinPartitions(*block)
-        .mapInArrow(lambda b: _compare_blocks(b, percent), "a bigint, b bigint")
-        .distinct()
-    )
-
-
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -454,17 +203,13 @@ def near_duplicates(
     )
     classes = materialize(classes, "classes")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        texts = materialize(fetch_texts(docs, classes, ends, id_column, text_column), "texts")
-        return verify(pairs, texts, percent)
-
-    leader_pairs = materialize(_leader_pairs(buckets, classes), "leaders")
-    links = materialize(linked(materialize(plausible(leader_pairs, classes, percent), "near")), "links")
-    labels = components(links)
-    crossing = _cross_pairs(buckets, labels, classes, percent).join(leader_pairs, ["a", "b"], "left_anti")
-    more = linked(materialize(crossing, "crossing"))
-    labels = components(links.unionAll(more))
+    labels = link_classes(
+        buckets,
+        classes,
+        lambda wanted: fetch_texts(docs, classes, wanted, id_column, text_column),
+        _sets,
+        percent,
+    )
 
     component = F.coalesce("component", "class")
     placed = classes.join(labels, classes["class"] == labels["node"], "left")
