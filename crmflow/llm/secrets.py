@@ -118,13 +118,11 @@ def training_samples(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
     The sample is bounded: the ``TRAINING_TEXTS`` texts of smallest hash.
     """
-    text = docs[text_column]
-    chosen = (
-        docs.filter(F.length(text) > 0)
-        .select(text.alias("text"), F.xxhash64(text).alias("key"))
-        .orderBy("key")
-        .limit(TRAINING_TEXTS)
-    )
+    rows = docs.select(docs[text_column].alias("text")).filter(F.length("text") > 0)
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    # Keys are chosen without their texts, so the last step gathers a few bytes per task and row.
+    keys = rows.select(F.col("key").alias("chosen")).distinct().orderBy("chosen").limit(TRAINING_TEXTS)
+    chosen = rows.join(F.broadcast(keys), F.col("key") == F.col("chosen"), "left_semi").distinct()
     word = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))))
     words = chosen.select(word.alias("word")).distinct()
     styles = F.array("word", F.lower("word"), F.upper("word"), F.concat("word", F.lit("_"), F.lower("word")))
