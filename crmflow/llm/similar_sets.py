@@ -218,12 +218,16 @@ def _leader_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of unlike labels within each block whose sketches do not rule out a link.
+    """For a class of a block, those of other labels that its sketch does not rule out.
 
-    Rows (bucket, low, high, side, class, label, n, sketch) come sorted by block.
+    Rows (bucket, low, high, side, class, label, n, sketch) come sorted by block. Pairs stay
+    packed by class, as they come up again in many buckets.
     """
 
-    def pairs(rows: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def partners(rows: list) -> Iterator[tuple[int, np.ndarray]]:
+        labels, counts = np.unique([r[5] for r in rows], return_counts=True)
+        # Classes of small components come first and have the long lists.
+        rows.sort(key=lambda r: counts[np.searchsorted(labels, r[5])])
         words = min(len(r[7]) for r in rows) // 8
         sketches = np.stack([_folded(r[7], words) for r in rows])
         side, name, label, size = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
@@ -239,26 +243,27 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
                 distance = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1, dtype=np.int64)
                 at = at[_may_link(distance, size[at] + size[i], percent)]
                 if len(at):
-                    yield np.minimum(name[at], name[i]), np.maximum(name[at], name[i])
+                    yield int(name[i]), name[at]
 
     def out(found: list) -> pa.RecordBatch:
-        both = np.unique(np.concatenate([np.stack(p) for p in found], axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+        names, others = zip(*found)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.int64()), pa.array(others, pa.list_(pa.int64()))], ["a", "others"]
+        )
 
-    block, rows, found, held = None, [], [], 0
+    block, rows, found = None, [], []
     for batch in batches:
         for row in zip(*(column.to_pylist() for column in batch.columns)):
             if row[:3] != block:
                 if len(rows) > 1:
-                    found += pairs(rows)
-                    held = sum(len(p[0]) for p in found) if len(found) > 1000 else held
-                    if held or len(found) > 1000:
+                    found += partners(rows)
+                    if len(found) > 1000:
                         yield out(found)
-                        found, held = [], 0
+                        found = []
                 block, rows = row[:3], []
             rows.append(row)
     if len(rows) > 1:
-        found += pairs(rows)
+        found += partners(rows)
     if found:
         yield out(found)
 
@@ -294,12 +299,14 @@ def _cross_pairs(buckets: DataFrame, labels: DataFrame, classes: DataFrame, perc
         )
     )
     block = ["bucket", "low", "high"]
-    return (
+    found = (
         cut.repartition(*block)
         .sortWithinPartitions(*block)
-        .mapInArrow(lambda b: _compare_blocks(b, percent), "a bigint, b bigint")
-        .distinct()
+        .mapInArrow(lambda b: _compare_blocks(b, percent), "a bigint, others array<bigint>")
     )
+    found = found.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    pairs = found.select("a", F.explode("others").alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def link_classes(
