@@ -98,8 +98,21 @@ def signatures(lines: list[bytes]) -> np.ndarray:
 
 def line_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The ascending distinct shingles of each line of a column."""
+    held, lines = 0, []
+
+    def sets() -> Iterator[np.ndarray]:
+        hashes, cuts = shingle_hashes(lines)
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield np.unique(hashes[low:high])
+
     for line in _texts(column):
-        yield np.unique(shingle_hashes([line])[0])
+        lines.append(line)
+        held += len(line)
+        if held >= _CHUNK:
+            yield from sets()
+            held, lines = 0, []
+    if lines:
+        yield from sets()
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
