@@ -100,7 +100,7 @@ def measure(data: np.ndarray, offsets: np.ndarray, lengths: Sequence[int]) -> di
     breaks = np.flatnonzero(data == 0x0A)
     line_starts = np.union1d(offsets[:-1][np.diff(offsets) > 0], breaks + 1)
     line_starts = line_starts[line_starts < len(data)]
-    line_ends = np.append(line_starts[1:], len(data))
+    line_ends = np.append(line_starts, len(data))[1:]
     line_ends = line_ends - (data[line_ends - 1] == 0x0A)
     words_before = np.searchsorted(starts, [line_starts, line_ends])
     worded = words_before[1] > words_before[0]
