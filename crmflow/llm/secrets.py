@@ -34,6 +34,7 @@ MIN_RATIO = 12.0
 #: Texts whose words train the model of identifiers, and as many random strings of each form.
 TRAINING_TEXTS = 500
 _CODES = 128
+_ALPHABET = "+/_-" + "".join(chr(c) for c in range(_CODES) if chr(c).isalnum())
 _BLOCK = 256
 
 
@@ -125,7 +126,15 @@ def training_samples(docs: DataFrame, text_column: str = "text") -> DataFrame:
     chosen = rows.join(F.broadcast(keys), F.col("key") == F.col("chosen"), "left_semi").distinct()
     word = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))))
     words = chosen.select(word.alias("word")).distinct()
-    styles = F.array("word", F.lower("word"), F.upper("word"), F.concat("word", F.lit("_"), F.lower("word")))
+    # Rules and fill, as in "----" or "xxxx", are ordinary, too; a hash picks their character.
+    letter = F.substring(F.lit(_ALPHABET), F.pmod(F.xxhash64("word"), F.lit(len(_ALPHABET))).cast("int") + 1, 1)
+    styles = F.array(
+        "word",
+        F.lower("word"),
+        F.upper("word"),
+        F.concat("word", F.lit("_"), F.lower("word")),
+        F.repeat(letter, 8),
+    )
     ordinary = words.select(F.explode(styles).alias("token"), F.lit(False).alias("random"))
     digest = F.sha2("text", 512)
     forms = F.array(
@@ -163,7 +172,7 @@ def train(samples: DataFrame) -> list[float]:
         .count()
         .collect()  # at most 2 * 128 * 128 rows
     )
-    alphabet = [ord(c) for c in "+/_-"] + [c for c in range(_CODES) if chr(c).isalnum()]
+    alphabet = [ord(c) for c in _ALPHABET]
     seen = {(row["random"], row["pair"]): row["count"] for row in counts}
     ratios = [0.0] * (_CODES * _CODES)
     for first in alphabet:
