@@ -39,9 +39,8 @@ def secret_texts():
 
 
 @pytest.fixture(scope="module")
-def ratios(spark):
-    rng = random.Random(10)
-    docs = documents(spark, [prose(rng, 200) + " The quick onset of ordinary text" for _ in range(60)])
+def ratios(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").filter("doc_id % 2 = 0")
     return secrets.train(secrets.training_samples(docs))
 
 
@@ -66,13 +65,14 @@ def test_listing_is_ordered(spark, ratios):
     assert found.first()[0] == "hex:4:20,assign:21:43,hex:27:43"
 
 
-def test_models_on_held_out_tokens(spark, ratios):
+def test_models_on_held_out_tokens(spark, small, ratios):
     rng = random.Random(12)
     letters = "abcdefghijklmnopqrstuvwxyz"
     symbols = letters + letters.upper() + "0123456789+/"
     random_tokens = ["".join(rng.choice(symbols) for _ in range(24)) for _ in range(200)]
-    plain = [w for w in prose(rng, 3000).split() if w[-1].isalpha() or True]
-    plain = ["_".join(re.sub("[0-9]", "", w) for w in plain[i : i + 4]) for i in range(0, 800, 4)]
+    others = spark.read.parquet(f"{small}/documents.parquet").filter("doc_id % 2 = 1 AND lang = 'en'")
+    plain = re.findall("[A-Za-z]{3,}", " ".join(r.text for r in others.select("text").collect()))
+    plain = ["_".join(rng.sample(plain, 4)) for _ in range(200)]
     rows = [(t, True) for t in random_tokens] + [(t, False) for t in plain]
     scored = spark.createDataFrame(rows, "token string, random boolean").select(
         "random", (secrets.ratio(F.col("token"), ratios) >= secrets.MIN_RATIO).alias("found")
