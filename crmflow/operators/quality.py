@@ -11,6 +11,8 @@ from crmflow.operators.skew import DEFAULT_POLICY, SkewPolicy
 
 # Candidate types of auto_field, narrowest first.
 NARROW_TYPES = ["int", "bigint", "double", "date", "timestamp"]
+# A number that a double reads back: no leading zeros, no type suffix.
+PLAIN_NUMBER = r"^-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?$"
 
 
 def data_columns(df: DataFrame) -> list[str]:
@@ -129,11 +131,18 @@ def _fits(column: Column, kind: str) -> Column:
     """Whether the text keeps its meaning under the type.
 
     Whole numbers must read back as the same text (``007`` stays text), and a date
-    must have no time of day.
+    must have no time of day. A double needs a plain number without leading zeros and with
+    no more digits than it can hold; a timestamp needs a date part, as a bare time of day
+    would become a moment of today.
     """
     cast = column.try_cast(kind)
     if kind in ("int", "bigint"):
         return cast.cast("string") == column
+    if kind == "double":
+        digits = F.length(F.regexp_replace(F.regexp_replace(column, "[eE].*", ""), "[^0-9]", ""))
+        return cast.isNotNull() & column.rlike(PLAIN_NUMBER) & (digits <= 15)
+    if kind == "timestamp":
+        return cast.isNotNull() & column.rlike(r"^\s*[+-]?\d{4,6}-")
     if kind == "date":
         return cast.cast("timestamp") == column.try_cast("timestamp")
     return cast.isNotNull()

@@ -130,7 +130,7 @@ def stamp(df: DataFrame, column: str, moment: Column | None = None) -> DataFrame
     return df.withColumn(column, F.current_timestamp() if moment is None else moment)
 
 
-def conform_customers(raw: DataFrame, key_type: str = "int") -> DataFrame:
+def conform_customers(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
     """Adds ``email_domain`` (text between the first and any second @) and ``is_valid_email``."""
     email = F.col("email")
     return _prepare(raw, CUSTOMER_NAMES, {"customer_id": key_type}).withColumns(
@@ -141,7 +141,7 @@ def conform_customers(raw: DataFrame, key_type: str = "int") -> DataFrame:
     )
 
 
-def conform_transactions(online: DataFrame, instore: DataFrame, key_type: str = "int") -> DataFrame:
+def conform_transactions(online: DataFrame, instore: DataFrame, key_type: str = "bigint") -> DataFrame:
     """Both channels in one table, with the parts of the transaction time.
 
     The key is ``(channel, transaction_id)``: the channels number independently.
@@ -174,7 +174,7 @@ def conform_transactions(online: DataFrame, instore: DataFrame, key_type: str =
     )
 
 
-def conform_loyalty(raw: DataFrame, as_of: AsOf, key_type: str = "int") -> DataFrame:
+def conform_loyalty(raw: DataFrame, as_of: AsOf, key_type: str = "bigint") -> DataFrame:
     """Adds tenure in days and in 30-day months up to ``as_of``, and the tier's rank."""
     types = {
         "loyalty_id": key_type,
@@ -192,7 +192,7 @@ def conform_loyalty(raw: DataFrame, as_of: AsOf, key_type: str = "int") -> DataF
     )
 
 
-def conform_service(raw: DataFrame, key_type: str = "int") -> DataFrame:
+def conform_service(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
     """Adds state flags (NULL for a NULL state), the issue category, date and hour."""
     types = {k: key_type for k in ("interaction_id", "customer_id", "agent_id")}
     status, when = F.col("resolution_status"), F.col("interaction_datetime")
@@ -208,7 +208,7 @@ def conform_service(raw: DataFrame, key_type: str = "int") -> DataFrame:
     )
 
 
-def conform_insights(raw: DataFrame, key_type: str = "int") -> DataFrame:
+def conform_insights(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
     """Adds order value, margin and profit, text flags as booleans, and demographic bands."""
     types = {
         "customer_id": key_type,
@@ -237,14 +237,14 @@ def conform_insights(raw: DataFrame, key_type: str = "int") -> DataFrame:
     )
 
 
-def conform_products(raw: DataFrame, key_type: str = "int") -> DataFrame:
+def conform_products(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
     types = {"product_id": key_type, "price": "double"}
     return _prepare(raw, PRODUCT_NAMES, types).withColumn(
         "price_tier", label(F.col("price"), bands.PRICE_TIER)
     )
 
 
-def conform_stores(raw: DataFrame, key_type: str = "int") -> DataFrame:
+def conform_stores(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
     return _prepare(raw, STORE_NAMES, {"store_id": key_type})
 
 

@@ -79,7 +79,7 @@ def ingest_folder(tables: LayerTables, base_path: str, **options) -> DataFrame:
 def conform_layer(
     tables: LayerTables,
     as_of: AsOf,
-    key_type: str = "int",
+    key_type: str = "bigint",
     deduplicate_transactions: bool = False,
     partition_transactions_by: Sequence[str] = ("transaction_year", "transaction_month"),
 ) -> DataFrame:

@@ -49,21 +49,27 @@ def read_csv(
     path: str | Sequence[str],
     schema: T.StructType | str | None = None,
     recursive: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header. Without a schema, types are inferred from all rows (one more pass)."""
+    """CSV with a header; a quote inside a quoted value is doubled.
+
+    Without a schema, types are inferred from all rows (one more pass). ``multi_line`` allows
+    line ends inside quotes; such files cannot be split, so each is read by one task.
+    """
     reader = spark.read.option("header", True).option("recursiveFileLookup", recursive)
+    reader = reader.option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).option("samplingRatio", 1.0).csv(path)
 
 
 def table_name(file_name: Column, known: Mapping[str, str] = FILE_TABLES) -> Column:
-    """Raw table for a file name: the known one, or the name in lower case without ``.csv``, with _ for blanks and hyphens."""
-    plain = F.regexp_replace(F.lower(F.replace(file_name, F.lit(".csv"), F.lit(""))), "[ -]", "_")
+    """Raw table for a file name: the known one, or the name in lower case without its suffix, with _ for blanks and hyphens."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(file_name), r"\.csv$", ""), "[ -]", "_")
     if not known:
         return plain
-    mapping = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    return F.coalesce(F.element_at(mapping, file_name), plain)
+    mapping = F.create_map(*[F.lit(x) for name, table in known.items() for x in (name.lower(), table)])
+    return F.coalesce(F.element_at(mapping, F.lower(file_name)), plain)
 
 
 def file_name(path: Column) -> Column:

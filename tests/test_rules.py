@@ -280,13 +280,16 @@ def test_auto_field_and_impute(spark):
     df = spark.createDataFrame(data, "a string, b string, c string, d string, e string, f string, g string")
     assert quality.narrow_types(df) == {
         "a": "int",
-        "b": "double",
+        "b": "string",
         "c": "double",
         "d": "date",
         "e": "timestamp",
         "f": "string",
         "g": "string",
     }
+    kept = [("12345678901234567890", "5d", "12:30", "1e3"), ("12345678901234567891", "10f", "13:00", "2.5")]
+    kept = spark.createDataFrame(kept, "a string, b string, c string, d string")
+    assert quality.narrow_types(kept) == {"a": "string", "b": "string", "c": "string", "d": "double"}
     with_gap = spark.createDataFrame([(1.0,), (2.0,), (10.0,), (10.0,), (None,)], "x double")
     filled = {
         m: quality.impute(with_gap, {"x": m}).agg(F.sum("x")).first()[0] - 23.0
