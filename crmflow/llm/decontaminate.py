@@ -17,7 +17,6 @@ as one item. Rows are judged one by one, so repeated rows get equal results.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
