@@ -11,15 +11,14 @@ from crmflow.plans.bands import is_weekend
 from crmflow.plans.money import from_units, mean_of_units, units
 
 
-def daily_aggregates(unique_customers: Column) -> list[Column]:
-    """Aggregates shared by the batch and the streaming table."""
+def daily_totals() -> list[Column]:
+    """The additive aggregates of the table."""
     amount = units(F.col("amount"))
     online, instore = F.col("channel") == "online", F.col("channel") == "instore"
     return [
         F.count(F.lit(1)).alias("total_transactions"),
         F.count(amount).alias("_amounts"),
         F.sum(amount).alias("_revenue"),
-        unique_customers.alias("unique_customers"),
         F.count_if(online).alias("online_transactions"),
         F.count_if(instore).alias("instore_transactions"),
         F.sum(F.when(online, amount).otherwise(0)).alias("_online"),
@@ -29,6 +28,24 @@ def daily_aggregates(unique_customers: Column) -> list[Column]:
     ]
 
 
+def daily_parts(transactions: DataFrame) -> DataFrame:
+    """Totals per day and customer, which add up over any split of the transactions."""
+    return transactions.groupBy("transaction_date", "customer_id").agg(*daily_totals())
+
+
+def merge_daily_parts(parts: DataFrame) -> DataFrame:
+    """The daily table from parts in which a day and customer may occur several times."""
+    keys = ["transaction_date", "customer_id"]
+    sums = [F.sum(c).alias(c) for c in parts.columns if c not in keys]
+    totals = (
+        parts.groupBy(*keys)
+        .agg(*sums)
+        .groupBy("transaction_date")
+        .agg(*sums, F.count("customer_id").alias("unique_customers"))
+    )
+    return daily_columns(totals, "transaction_date")
+
+
 def daily_columns(totals: DataFrame, day: str) -> DataFrame:
     """The table's columns from the aggregates above."""
     revenue, online = from_units(F.col("_revenue")), from_units(F.col("_online"))
@@ -67,5 +84,5 @@ def build_daily_metrics(
     customers = (
         F.approx_count_distinct("customer_id") if approximate else F.count_distinct("customer_id")
     )
-    totals = transactions.groupBy("transaction_date").agg(*daily_aggregates(customers))
+    totals = transactions.groupBy("transaction_date").agg(*daily_totals(), customers.alias("unique_customers"))
     return daily_columns(totals, "transaction_date")

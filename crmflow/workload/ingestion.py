@@ -15,7 +15,7 @@ from crmflow.plans.layers import business_layer, conform_layer, ingest_files
 from crmflow.sources import files, tables as layer_tables
 from crmflow.sources.tables import LayerTables
 from crmflow.storage import scratch_path
-from crmflow.streaming.daily import stream_daily_metrics
+from crmflow.streaming.daily import read_daily_metrics, stream_daily_parts
 from crmflow.streaming.ingest import append_available, csv_stream
 from crmflow.workload import roles
 from crmflow.workload.registry import query, table
@@ -409,26 +409,12 @@ def ext_stream_ingest(spark: Session, sf_dir: str) -> DataFrame:
     return stored.select(*orders.columns, F.col("_source_file").endswith(".csv").alias("has_source"))
 
 
-@query(
-    "ext_stream_daily",
-    using(
-        "daily",
-        """SELECT * EXCLUDE (unique_customers) FROM daily
-           WHERE transaction_date <= (SELECT max(transaction_date) - 2 FROM daily)""",
-    ),
-)
+@query("ext_stream_daily", using("daily", "SELECT * FROM daily"))
 def ext_stream_daily(spark: Session, sf_dir: str) -> DataFrame:
-    """Daily metrics of a stream, for the days the watermark has passed."""
+    """Daily metrics of a stream that arrives in several batches: all days, all customers."""
     source, target, checkpoint = [scratch_path(spark, n) for n in ("sales", "daily", "progress")]
     transactions = roles.transactions(spark, sf_dir)
     transactions.write.parquet(source)
-    stream = spark.readStream.schema(transactions.schema).parquet(source)
-    running = (
-        stream_daily_metrics(stream)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    running.awaitTermination()
-    return spark.read.parquet(target).drop("unique_customers")
+    stream = spark.readStream.schema(transactions.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    stream_daily_parts(stream, target, checkpoint).awaitTermination()
+    return read_daily_metrics(spark, target)
