@@ -91,10 +91,10 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def fits_broadcast(df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> bool:
     """True when ``df`` is measured to stay within the policy's broadcast rows and bytes."""
-    measured = df.limit(policy.broadcast_rows + 1).agg(
+    # Without a limit, which would bring its rows into one task: each task sends one row of sums.
+    found = df.agg(
         F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df).cast("bigint")).alias("bytes")
-    )
-    found = measured.first()
+    ).first()
     return found["rows"] <= policy.broadcast_rows and (found["bytes"] or 0) <= policy.broadcast_bytes
 
 

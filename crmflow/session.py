@@ -49,7 +49,7 @@ def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     partitions = max(2 * total_cores, math.ceil(input_bytes / target))
     return {
         **COMMON_SETTINGS,
-        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
         "spark.sql.files.maxPartitionBytes": str(2 * target),
         "spark.sql.parquet.aggregatePushdown": "true",

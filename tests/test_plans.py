@@ -84,4 +84,4 @@ def test_many_chunks_of_copies(spark, monkeypatch):
 def test_cluster_settings_grow_with_the_input():
     small = cluster_settings(10**9, 100)["spark.sql.shuffle.partitions"]
     large = cluster_settings(100 * 10**12, 8_000)["spark.sql.shuffle.partitions"]
-    assert int(small) == 200 and int(large) == 100_000
+    assert int(small) == 200 and int(large) > 700_000
