@@ -32,7 +32,7 @@ BLOCK_PHRASES = 200_000
 #: One suffix position in so many is kept.
 SAMPLE_EVERY = 8
 #: Bytes of text in a shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 
 def phrases_of(items: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
