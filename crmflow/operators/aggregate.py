@@ -152,12 +152,20 @@ def cross_tab(
     values: Sequence[object] | None = None,
     order_by: Sequence[OrderKey] = (),
     policy: SkewPolicy = DEFAULT_POLICY,
+    rest: str | None = None,
 ) -> DataFrame:
     """One column per header value, holding the method's result for (group, header).
 
     The cells are aggregated first, pivoted after: the pivot sees one row per cell.
-    Give ``values`` to save the job that looks for them.
+    Give ``values`` to save the job that looks for them; with ``rest``, all other headers
+    (NULL, too) share one more column of that name, without it they are left out.
     """
+    if rest is not None:
+        if values is None or rest in map(str, values):
+            raise ValueError("rest needs the header values, and a name that is none of them")
+        listed = F.col(header).isin(*values)
+        df = df.withColumn(header, F.when(listed, F.col(header).cast("string")).otherwise(rest))
+        values = [*map(str, values), rest]
     cells = summarize(df, [*group_by, header], [Summary(field, method, "_cell")], order_by, policy)
     pivoted = cells.groupBy(*group_by).pivot(header, list(values) if values is not None else None)
     return pivoted.agg(F.first("_cell"))

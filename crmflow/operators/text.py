@@ -13,10 +13,18 @@ def _parts(field: str, delimiter: str) -> Column:
 
 
 def text_to_columns(
-    df: DataFrame, field: str, delimiter: str = ",", columns: int = 2, root: str | None = None
+    df: DataFrame,
+    field: str,
+    delimiter: str = ",",
+    columns: int = 2,
+    root: str | None = None,
+    keep_rest: bool = False,
 ) -> DataFrame:
-    """Split on a literal delimiter into ``root1 … rootN``; missing parts are NULL, extra ones are dropped."""
-    parts = _parts(field, delimiter)
+    """Split on a literal delimiter into ``root1 … rootN``; missing parts are NULL.
+
+    Extra parts are dropped, or with ``keep_rest`` stay in the last column as they were.
+    """
+    parts = F.split(F.col(field), re.escape(delimiter), columns) if keep_rest else _parts(field, delimiter)
     root = root or field
     return df.withColumns({f"{root}{i + 1}": F.get(parts, F.lit(i)) for i in range(columns)})
 

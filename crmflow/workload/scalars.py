@@ -301,6 +301,18 @@ def text_to_columns(spark: Session, sf_dir: str) -> DataFrame:
     return text.text_to_columns(customers, "email", ".", 6, "part").drop("email", "part4", "part5")
 
 
+@query(
+    "text_to_columns_rest",
+    """SELECT doc_id, string_split(text, ' ')[1] AS word1,
+              CASE WHEN contains(text, ' ') THEN substr(text, instr(text, ' ') + 1) END AS word2
+       FROM documents""",
+)
+def text_to_columns_rest(spark: Session, sf_dir: str) -> DataFrame:
+    """The last column keeps what is behind the first delimiter."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return text.text_to_columns(docs, "text", " ", 2, "word", keep_rest=True).drop("text")
+
+
 @query(
     "text_to_rows",
     "SELECT doc_id, unnest(string_split(text, '. ')) AS text FROM documents",

@@ -603,6 +603,20 @@ def cross_tab(spark: Session, sf_dir: str) -> DataFrame:
     return aggregate.cross_tab(lines, ["l_suppkey"], "l_returnflag", "units", "Sum", ["A", "N", "R"])
 
 
+@query(
+    "cross_tab_rest",
+    """SELECT l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (l_returnflag = 'A') AS BIGINT) AS "A",
+              CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (l_returnflag IS DISTINCT FROM 'A') AS BIGINT) AS "other"
+       FROM lineitem GROUP BY l_suppkey""",
+)
+def cross_tab_rest(spark: Session, sf_dir: str) -> DataFrame:
+    """Headers that are not listed share a column."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_returnflag", F.col("l_quantity").cast("bigint").alias("units")
+    )
+    return aggregate.cross_tab(lines, ["l_suppkey"], "l_returnflag", "units", "Sum", ["A"], rest="other")
+
+
 @query(
     "cross_tab_methods",
     """SELECT o_custkey, min(o_totalprice) FILTER (o_orderstatus = 'F') AS min_F,
