@@ -12,7 +12,7 @@ from crmflow.llm.decontaminate import drop_contaminated
 from crmflow.llm.mixing import mix_sources
 from crmflow.llm.parity_join import drop_near_duplicates
 from crmflow.llm.quality import drop_repetitive
-from crmflow.llm.registry import name_package, table
+from crmflow.llm.registry import prepare_session, table
 from crmflow.llm.sharding import add_shard
 from crmflow.storage import materialize
 
@@ -21,13 +21,13 @@ SHARDS = 8
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the rules on length and repetition."""
-    name_package(spark)
+    prepare_session(spark)
     return drop_repetitive(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each group of near duplicates."""
-    name_package(spark)
+    prepare_session(spark)
     return drop_near_duplicates(docs)
 
 
@@ -38,13 +38,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats and thins out documents so that the sources come near their targets."""
-    name_package(spark)
+    prepare_session(spark)
     return mix_sources(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the shard of each document; equal texts share one."""
-    name_package(spark)
+    prepare_session(spark)
     return add_shard(docs, SHARDS)
 
 

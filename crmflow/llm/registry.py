@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The setting that bounds an Arrow batch, and the bytes that operators here are made for.
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -25,11 +30,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def name_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+def _bytes_of(setting: str) -> int:
+    """The bytes that a size setting such as 64m or 4194304b means."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def prepare_session(spark: SparkSession) -> None:
+    """Let Python workers import this package, and bound the Arrow batches they are sent by bytes.
 
-    Workers on other machines need it installed or shipped (``--py-files``) in any case.
+    The package is found where the driver has it; workers on other machines need it installed
+    or shipped (``--py-files``) in any case. Batches bounded by rows alone hold ten thousand
+    texts of any length; a smaller bound of the session's own stays.
     """
+    if _bytes_of(spark.conf.get(BATCH_LIMIT)) > BATCH_BYTES:
+        spark.conf.set(BATCH_LIMIT, f"{BATCH_BYTES}b")
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(":")
     if root not in known:
@@ -37,5 +52,5 @@ def name_package(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    name_package(spark)
+    prepare_session(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
+from crmflow.llm.registry import BATCH_BYTES, BATCH_LIMIT, _bytes_of, prepare_session
 from crmflow.storage import materialize
 from tests.llm.frames import documents, joined, shingles, words
 from tests.llm.test_layout import filled
@@ -53,3 +54,14 @@ def test_awkward_input_passes_all_stages(spark, small):
         assert frame.columns == [*docs.columns, "shard"]
         frame.collect()
     assert joined([1, 2], [(1, 2)]) == {1: 1, 2: 1} and not shingles("")
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    before = spark.conf.get(BATCH_LIMIT)
+    try:
+        for own, expected in (("64m", BATCH_BYTES), ("1m", 1 << 20)):
+            spark.conf.set(BATCH_LIMIT, own)
+            prepare_session(spark)
+            assert _bytes_of(spark.conf.get(BATCH_LIMIT)) == expected
+    finally:
+        spark.conf.set(BATCH_LIMIT, before)
