@@ -1,9 +1,10 @@
-"""Registered queries over web pages: archives and URL filters."""
+"""Registered queries over web pages: archives, URL filters and main text."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from crmflow.llm.content import extract_content, train_scores
 from crmflow.llm.registry import query, table
 from crmflow.llm.url_filter import judge_urls
 from crmflow.llm.warc import CHUNKS, read_records, write_archive
@@ -60,3 +61,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list holds every host and path that some page reaches with a campaign tag in its url."""
     pages = table(spark, sf_dir, "pages")
     return judge_urls(pages, pages["url"].contains("utm_source="))
+
+
+@query("op11_html_extraction")
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = extract_content(pages, train_scores(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
