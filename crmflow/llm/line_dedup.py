@@ -19,9 +19,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from crmflow.llm.similar_sets import bit_sketch, find_buckets, in_bitmap, key_bitmap, link_classes
 from crmflow.llm.text import column_bytes, mix
+from crmflow.llm.workers import giving_back
 from crmflow.storage import materialize
 
 #: Characters of a shingle: a power of two.
@@ -138,7 +140,7 @@ def _occurrences(rows: DataFrame) -> DataFrame:
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_key bigint, line bigint, class bigint")
+    return rows.mapInArrow(giving_back(run), f"id {kind}, text_key bigint, line bigint, class bigint")
 
 
 def _hashed(batch: pa.RecordBatch, done: set[int]) -> Iterator[tuple[int, np.ndarray]]:
@@ -181,7 +183,7 @@ def _line_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 ["class", "text"],
             )
 
-    found = rows.mapInArrow(run, "class bigint, text string")
+    found = rows.mapInArrow(giving_back(run), "class bigint, text string")
     return found.join(wanted, "class").groupBy("class").agg(F.min("text").alias("text"))
 
 
@@ -195,7 +197,7 @@ def _measured(texts: DataFrame) -> DataFrame:
                 [*batch.schema.names, "n", "sketch"],
             )
 
-    return texts.mapInArrow(run, "class bigint, text string, copies bigint, n bigint, sketch binary")
+    return texts.mapInArrow(giving_back(run), "class bigint, text string, copies bigint, n bigint, sketch binary")
 
 
 def repeated_lines(
@@ -229,6 +231,21 @@ def repeated_lines(
     )
 
 
+@F.arrow_udf(StringType())
+def without_lines(texts: pa.Array, remove: pa.Array) -> pa.Array:
+    """Each text without the lines of the given numbers; null stays null. A text is split once."""
+    shorter = []
+    for text, numbers in zip(texts, remove):
+        if not text.is_valid:
+            shorter.append(None)
+            continue
+        lines = text.as_py().split("\n")
+        kept = np.ones(len(lines), bool)
+        kept[numbers.values.to_numpy()] = False
+        shorter.append("\n".join(lines[i] for i in np.flatnonzero(kept).tolist()))
+    return pa.array(shorter, pa.string())
+
+
 def dedup_lines(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -240,14 +257,11 @@ def dedup_lines(
     keyed = docs.select(row, docs[id_column].alias("id"), F.xxhash64(text).alias("text_key"))
     same = keyed["id"].eqNullSafe(found["_id"]) & (keyed["text_key"] == found["_key"])
     joined = keyed.join(found, same, "left")
-    body = F.split(F.col(f"row.`{text_column}`"), "\n", -1)
-    # Places of the lines that stay, taken from the text at once.
-    staying = F.array_except(
-        F.sequence(F.lit(0).cast("bigint"), F.size(body).cast("bigint") - 1), F.col("remove")
-    )
-    shorter = F.array_join(F.transform(staying, lambda i: F.get(body, i.cast("int"))), "\n")
+    # Only texts that lose lines go to a worker.
+    changed = F.when(F.col("remove").isNotNull(), F.col(f"row.`{text_column}`"))
+    joined = joined.withColumn("shorter", without_lines(changed, "remove"))
     columns = [
-        F.coalesce(F.when(F.col("remove").isNotNull(), shorter), F.col(f"row.`{c}`")).alias(c)
+        F.coalesce("shorter", F.col(f"row.`{c}`")).alias(c)
         if c == text_column
         else F.col(f"row.`{c}`").alias(c)
         for c in docs.columns

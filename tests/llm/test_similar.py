@@ -170,3 +170,12 @@ def test_line_dedup_of_odd_tables(spark):
     # The row without id comes last in the order; rows alike in id and text are one document.
     assert out == [(-1, "b"), (2, "a line here"), (2, "a line here"), (3, "")]
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_texts_of_very_many_lines(spark):
+    """A text is split once, however many of its lines stay."""
+    lines = [f"line {i} of {i * 7919 % 100_003} and {i * 104_729 % 99_991}" for i in range(100_000)]
+    text = "\n".join([*lines, lines[5], "", *lines[:3]])
+    found = line_dedup.dedup_lines(documents(spark, [text, "one\ntwo"], extra=False)).orderBy("doc_id").collect()
+    assert found[0]["text"].split("\n")[-1] == "" and found[1]["text"] == "one\ntwo"
+    assert found[0]["text"] == "\n".join([*dict.fromkeys(found[0]["text"].split("\n"))])
