@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from crmflow.llm.page_blocks import CONTENT, FIRM, SOFT, UNKNOWN, Block, page_blocks
 from crmflow.llm.text import column_bytes
+from crmflow.llm.workers import giving_back
 
 #: Pages that the classifier is trained on.
 TRAINING_PAGES = 1000
@@ -257,7 +258,7 @@ def train_scores(
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["cell", "n"])
 
     # At most two rows per feature code come back.
-    found = rows.mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.mapInArrow(giving_back(run), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(2 * CODES)
     counts[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
     return fit_scores(counts.reshape(CODES, 2))
@@ -293,5 +294,5 @@ def extract_content(
             )
 
     kinds = [rows.schema[c].dataType.simpleString() for c in ("id", "url")]
-    found = rows.mapInArrow(run, f"id {kinds[0]}, url {kinds[1]}, text string, n_blocks bigint, n_kept bigint")
+    found = rows.mapInArrow(giving_back(run), f"id {kinds[0]}, url {kinds[1]}, text string, n_blocks bigint, n_kept bigint")
     return found.select(F.col("id").alias(id_column), F.col("url").alias(url_column), "text", "n_blocks", "n_kept")

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from crmflow.llm.text import ALNUM_BYTES, LOWER, column_bytes, find_words, hash_spans, text_slices
+from crmflow.llm.workers import giving_back
 
 PHRASE_WORDS = 10
 #: Phrases of one broadcast: at most about 250 bytes each.
@@ -56,7 +57,7 @@ def phrases_of(items: DataFrame, id_column: str, text_column: str, size: int) ->
                 ["item", "phrase"],
             )
 
-    found = rows.mapInArrow(run, "item string, phrase array<bigint>").distinct()
+    found = rows.mapInArrow(giving_back(run), "item string, phrase array<bigint>").distinct()
     return found.groupBy("phrase").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
@@ -329,7 +330,7 @@ def benchmark_hits(
                     [n for i, n in enumerate(batch.schema.names) if i != 1] + ["n_words", "spans", "items"],
                 )
 
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(giving_back(run), schema)
 
     if len(blocks) == 1:
         return one_pass(rows, blocks[0], schema)
@@ -348,7 +349,7 @@ def benchmark_hits(
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.expr(f"copies div {len(blocks)}"))))
         .select(id_column, "n_words", "spans", "items")
     )
-    return merged.mapInArrow(_merge, schema)
+    return merged.mapInArrow(giving_back(_merge), schema)
 
 
 def drop_contaminated(
@@ -369,5 +370,5 @@ def drop_contaminated(
                 hits = shard_hits(batch.column(place), block.value, shard_bytes)
                 yield batch.filter(pa.array([not spans for _, spans, _ in hits], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(giving_back(run), docs.schema)
     return docs

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from crmflow.llm.text import WORD_BYTES, find_words, text_slices
+from crmflow.llm.workers import giving_back
 from crmflow.operators.ordering import global_positions
 from crmflow.storage import materialize
 
@@ -56,7 +57,7 @@ def measured(docs: DataFrame, id_column: str, text_column: str, source_column: s
                 ["id", "source", "row_key", "size"],
             )
 
-    return rows.mapInArrow(run, f"id {kind}, source string, row_key bigint, size bigint")
+    return rows.mapInArrow(giving_back(run), f"id {kind}, source string, row_key bigint, size bigint")
 
 
 def source_targets(

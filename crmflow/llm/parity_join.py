@@ -43,6 +43,7 @@ from crmflow.llm.similar_sets import (
     set_class,
 )
 from crmflow.llm.text import mix, shingle_sets, text_slices
+from crmflow.llm.workers import giving_back
 from crmflow.storage import materialize
 
 SHINGLE_WORDS = 5
@@ -118,7 +119,7 @@ def set_profile(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_key bigint, n bigint, class bigint, sketch binary")
+    return rows.mapInArrow(giving_back(run), f"id {kind}, text_key bigint, n bigint, class bigint, sketch binary")
 
 
 def common_shingles(docs: DataFrame, id_column: str, text_column: str) -> np.ndarray:
@@ -131,7 +132,7 @@ def common_shingles(docs: DataFrame, id_column: str, text_column: str) -> np.nda
             for found in _sets(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["shingle"])
 
-    counts = sample.mapInArrow(run, "shingle bigint").groupBy("shingle").count()
+    counts = sample.mapInArrow(giving_back(run), "shingle bigint").groupBy("shingle").count()
     frequent = counts.filter(F.col("count") >= COMMON_COUNT)
     rows = frequent.orderBy(F.desc("count"), "shingle").limit(MAX_COMMON).select("shingle").toPandas()
     return np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
@@ -173,7 +174,7 @@ def fetch_texts(
             yield batch.filter(pa.array(in_bitmap(shared.value, keys)))
 
     rows = _keyed(docs, id_column, text_column)
-    rows = rows.mapInArrow(run, rows.schema)
+    rows = rows.mapInArrow(giving_back(run), rows.schema)
     same = (rows["id"] == chosen["_id"]) & (rows["text_key"] == chosen["_key"])
     return rows.join(chosen, same).select("class", "text")
 

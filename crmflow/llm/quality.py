@@ -25,6 +25,7 @@ from crmflow.llm.text import (
     window_hashes,
     windows_inside,
 )
+from crmflow.llm.workers import giving_back
 
 MIN_WORDS = 10
 #: Words in repeated five-word windows, per hundred.
@@ -165,7 +166,7 @@ def repetition_report(
                     [batch.column(0), *map(pa.array, columns)], [id_column, *names]
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)
 
 
 def drop_repetitive(
@@ -184,4 +185,4 @@ def drop_repetitive(
             if done:
                 yield batch.filter(pa.array(np.concatenate(done)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from crmflow.llm.components import components
 from crmflow.llm.text import mix
+from crmflow.llm.workers import giving_back, group_giving_back
 from crmflow.storage import materialize
 
 #: Words of one group in the bucket search, and those a task packs at once.
@@ -124,8 +125,8 @@ def find_buckets(rows: DataFrame, hashed: Callable, words: int) -> DataFrame:
         if classes:
             yield _pack(classes, held_words, groups)
 
-    packed = rows.mapInArrow(run, "part bigint, classes binary, lengths binary, words binary")
-    return packed.groupBy("part").applyInArrow(_meet, "bucket bigint, class bigint").distinct()
+    packed = rows.mapInArrow(giving_back(run), "part bigint, classes binary, lengths binary, words binary")
+    return packed.groupBy("part").applyInArrow(group_giving_back(_meet), "bucket bigint, class bigint").distinct()
 
 
 def key_bitmap(rows: DataFrame, column: str) -> Broadcast:
@@ -194,13 +195,13 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their sizes and bit sketches do not rule out."""
     near = _with_both(pairs, classes, ["n", "sketch"])
     near = near.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
-    return near.mapInArrow(lambda batches: _passes(batches, percent), "a bigint, b bigint")
+    return near.mapInArrow(giving_back(lambda batches: _passes(batches, percent)), "a bigint, b bigint")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int) -> DataFrame:
     """The pairs (a, b) that are links."""
     compared = _with_both(pairs, texts, ["text"])
-    return compared.mapInArrow(lambda batches: _verified(batches, sets, percent), "a bigint, b bigint")
+    return compared.mapInArrow(giving_back(lambda batches: _verified(batches, sets, percent)), "a bigint, b bigint")
 
 
 def _leader_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -302,7 +303,7 @@ def _cross_pairs(buckets: DataFrame, labels: DataFrame, classes: DataFrame, perc
     found = (
         cut.repartition(*block)
         .sortWithinPartitions(*block)
-        .mapInArrow(lambda b: _compare_blocks(b, percent), "a bigint, others array<bigint>")
+        .mapInArrow(giving_back(lambda b: _compare_blocks(b, percent)), "a bigint, others array<bigint>")
     )
     found = found.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
     pairs = found.select("a", F.explode("others").alias("b"))
