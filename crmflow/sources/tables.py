@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -29,11 +30,20 @@ def add_lineage(
     )
 
 
+#: Property of a table's view that names the version it shows.
+_VERSION = "crmflow.version"
+
+
 class LayerTables:
     """Catalog tables grouped by layer, stored as Parquet.
 
     ``databases`` maps a layer to its database, which may carry a catalog
     (``catalog.silver``). ``location`` puts the databases created here below a folder.
+
+    A table's name is a view of one of its versions. Overwriting writes a new version beside
+    the present one and then turns the view to it, in one call to the catalog. Until then, and
+    for ever if the write fails, readers see the old rows; a table may therefore be built from
+    its own content. ``keep_versions`` older versions stay, for queries that still read them.
     """
 
     def __init__(
@@ -41,10 +51,12 @@ class LayerTables:
         spark: SparkSession,
         databases: dict[str, str] | None = None,
         location: str | None = None,
+        keep_versions: int = 1,
     ):
         self.spark = spark
         self.databases = dict(databases or LAYERS)
         self.location = location
+        self.keep_versions = keep_versions
 
     def full_name(self, table: str, layer: str) -> str:
         if layer not in self.databases:
@@ -65,6 +77,20 @@ class LayerTables:
     def read_if_exists(self, table: str, layer: str) -> DataFrame | None:
         return self.read(table, layer) if self.exists(table, layer) else None
 
+    def version(self, table: str, layer: str) -> str | None:
+        """The table that the name shows now, without its database; None if there is none."""
+        if not self.exists(table, layer):
+            return None
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table, layer)}")
+        found = shown.where(F.col("key") == _VERSION).collect()
+        return found[0]["value"] if found else None
+
+    def versions(self, table: str, layer: str) -> list[str]:
+        """All stored versions of a table, oldest first."""
+        database = self.full_name("", layer).rstrip(".")
+        found = self.spark.sql(f"SHOW TABLES IN {database} LIKE '{table.lower()}__v*'").collect()
+        return sorted(row["tableName"] for row in found)
+
     def write(
         self,
         df: DataFrame,
@@ -72,44 +98,85 @@ class LayerTables:
         layer: str,
         mode: str = "overwrite",
         partition_by: Sequence[str] = (),
-        reads_itself: bool = False,
-    ) -> int:
+        observed: Sequence[Column] = (),
+    ) -> int | dict[str, int]:
         """Overwrite or append, and return the rows written, counted during the write.
 
         An append may bring new columns (older rows read as NULL) or lack some; a
-        changed type is an error. ``reads_itself`` stores the rows first, for a table
-        built from its own present content.
+        changed type is an error. With ``observed`` aggregates, their values come back
+        together with the count (``rows``).
         """
         if mode not in ("overwrite", "append"):
             raise ValueError(f"write mode must be overwrite or append, not {mode!r}")
-        name = self.full_name(table, layer)
-        if reads_itself:
-            df = materialize(df, f"{layer}-{table}")
-        if mode == "append" and self.exists(table, layer):
-            df = self._evolve(df, name)
+        self._adopt(table, layer)
+        present = self.version(table, layer)
+        if mode == "append" and present is not None:
+            target = self.full_name(present, layer)
+            df = self._evolve(df, table, layer, target)
+        else:
+            # Names in order of their time, so that the oldest can be told.
+            last = self.versions(table, layer)[-1:]
+            number = int(last[0].rsplit("__v", 1)[1].split("_")[0]) + 1 if last else 1
+            target = self.full_name(f"{table.lower()}__v{number:08d}_{uuid.uuid4().hex[:8]}", layer)
         if partition_by:
             # Files per partition value: adaptive execution splits a large one and merges small ones.
             df = df.hint("rebalance", *partition_by)
         # Counted in the writing stage itself, where a repeated task counts once.
         observation = Observation()
-        counted = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-        counted.write.format("parquet").mode(mode).partitionBy(*partition_by).saveAsTable(name)
-        return observation.get["rows"]
+        counted = df.observe(observation, F.count(F.lit(1)).alias("rows"), *observed)
+        try:
+            counted.write.format("parquet").mode("append").partitionBy(*partition_by).saveAsTable(target)
+        except Exception:
+            if mode == "overwrite" or present is None:
+                self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+            raise
+        if mode == "overwrite" or present is None:
+            self._show(table, layer, target)
+            self._drop_old(table, layer)
+        found = observation.get
+        return found if observed else found["rows"]
+
+    def _show(self, table: str, layer: str, target: str) -> None:
+        """Turn the name to a version."""
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.full_name(table, layer)} "
+            f"TBLPROPERTIES ('{_VERSION}' = '{target.rsplit('.', 1)[1]}') AS SELECT * FROM {target}"
+        )
 
-    def _evolve(self, df: DataFrame, name: str) -> DataFrame:
-        present = {f.name: f.dataType for f in self.spark.table(name).schema.fields}
+    def _adopt(self, table: str, layer: str) -> None:
+        """Make a plain table of that name its own first version."""
+        if self.exists(table, layer) and self.version(table, layer) is None:
+            first = self.full_name(f"{table.lower()}__v{0:08d}_adopted", layer)
+            self.spark.sql(f"ALTER TABLE {self.full_name(table, layer)} RENAME TO {first}")
+            self._show(table, layer, first)
+
+    def _drop_old(self, table: str, layer: str) -> None:
+        shown = self.version(table, layer)
+        older = [v for v in self.versions(table, layer) if v < shown]
+        for version in older[: len(older) - self.keep_versions]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(version, layer)}")
+
+    def drop(self, table: str, layer: str) -> None:
+        """Remove a table with all its versions."""
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.full_name(table, layer)}")
+        for version in self.versions(table, layer):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(version, layer)}")
+
+    def _evolve(self, df: DataFrame, table: str, layer: str, target: str) -> DataFrame:
+        present = {f.name: f.dataType for f in self.spark.table(target).schema.fields}
         new = []
         for field in df.schema.fields:
             if field.name not in present:
                 new.append(f"`{field.name}` {field.dataType.simpleString()}")
             elif field.dataType != present[field.name]:
                 raise TypeError(
-                    f"{name}.{field.name} is {present[field.name].simpleString()}, "
+                    f"{target}.{field.name} is {present[field.name].simpleString()}, "
                     f"cannot append {field.dataType.simpleString()}"
                 )
         if new:
-            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
-        columns = self.spark.table(name).schema.fields
+            self.spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({', '.join(new)})")
+            self._show(table, layer, target)
+        columns = self.spark.table(target).schema.fields
         return df.select(
             *[
                 F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)

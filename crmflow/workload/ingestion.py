@@ -418,3 +418,34 @@ def ext_stream_daily(spark: Session, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(transactions.schema).option("maxFilesPerTrigger", 4).parquet(source)
     stream_daily_parts(stream, target, checkpoint).awaitTermination()
     return read_daily_metrics(spark, target)
+
+
+@query(
+    "sink_atomic_overwrite",
+    """SELECT s_suppkey, s_nationkey, s_acctbal * 2 AS doubled, 'refused' AS failed_write,
+              (SELECT count(*) FROM supplier) AS rows_after_failure, 2 AS versions FROM supplier""",
+)
+def sink_atomic_overwrite(spark: Session, sf_dir: str) -> DataFrame:
+    """A table that survives an overwrite which fails half-way, and is then rebuilt from itself."""
+    layers = _layers(spark)
+    layers.create("silver")
+    supplier = table(spark, sf_dir, "supplier")
+    layers.write(supplier, "supplier", "silver", partition_by=["s_nationkey"])
+    last = supplier.agg(F.max("s_suppkey")).scalar()
+    fails = F.when(F.col("s_suppkey") == last, F.raise_error(F.lit("refused"))).otherwise(F.col("s_acctbal"))
+    try:
+        layers.write(supplier.withColumn("s_acctbal", fails.cast("double")), "supplier", "silver")
+        outcome = "written"
+    except Exception as error:
+        outcome = "refused" if "refused" in str(error) else "other"
+    after = layers.read("supplier", "silver").count()
+    current = layers.read("supplier", "silver")
+    layers.write(current.withColumn("doubled", F.col("s_acctbal") * 2), "supplier", "silver")
+    return layers.read("supplier", "silver").select(
+        "s_suppkey",
+        "s_nationkey",
+        "doubled",
+        F.lit(outcome).alias("failed_write"),
+        F.lit(after).cast("bigint").alias("rows_after_failure"),
+        F.lit(len(layers.versions("supplier", "silver"))).alias("versions"),
+    )

@@ -84,7 +84,7 @@ def test_write_modes(spark, layers):
     with pytest.raises(ValueError):
         layers.write(one, "t", "silver", "replace")
     doubled = layers.read("t", "silver").unionByName(layers.read("t", "silver"))
-    assert layers.write(doubled, "t", "silver", reads_itself=True) == 6
+    assert layers.write(doubled, "t", "silver") == 6
     assert layers.exists("t", "silver") and not layers.exists("other", "silver")
     assert layers.read_if_exists("other", "silver") is None
 
@@ -137,3 +137,48 @@ def test_shared_folder_is_the_configured_one():
     assert shared_dir(_Session("local[2]")) == shared_dir(_Session("local[8]"))
     with pytest.raises(RuntimeError):
         shared_dir(_Session("spark://host:7077"))
+
+
+def test_failed_overwrite_keeps_the_old_table(spark, layers):
+    layers.create("silver")
+    old = spark.range(100).withColumn("day", F.pmod("id", F.lit(3)))
+    assert layers.write(old, "kept", "silver", partition_by=["day"]) == 100
+    shown = layers.version("kept", "silver")
+    # Some tasks have written their files when another one fails.
+    broken = spark.range(0, 100, 1, 8).withColumn(
+        "day", F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("bigint")
+    )
+    with pytest.raises(Exception, match="lost"):
+        layers.write(broken, "kept", "silver", partition_by=["day"])
+    assert layers.version("kept", "silver") == shown and layers.versions("kept", "silver") == [shown]
+    assert layers.read("kept", "silver").count() == 100
+    assert layers.write(spark.range(7), "kept", "silver") == 7
+    assert layers.read("kept", "silver").columns == ["id"] and layers.read("kept", "silver").count() == 7
+
+
+def test_versions_are_kept_and_dropped(spark, layers):
+    layers.create("silver")
+    for rows in (1, 2, 3, 4):
+        layers.write(spark.range(rows), "v", "silver")
+        reader = layers.read("v", "silver")
+    assert len(layers.versions("v", "silver")) == 2
+    layers.write(spark.range(9), "v", "silver")
+    assert reader.count() == 4, "a reader of the version before goes on"
+    layers.drop("v", "silver")
+    assert not layers.exists("v", "silver") and layers.versions("v", "silver") == []
+
+
+def test_plain_tables_become_versions(spark, layers):
+    layers.create("silver")
+    spark.range(3).write.saveAsTable(layers.full_name("plain", "silver"))
+    assert layers.write(spark.range(3, 5), "plain", "silver", "append") == 2
+    assert layers.read("plain", "silver").count() == 5
+    assert layers.write(layers.read("plain", "silver").where("id > 3"), "plain", "silver") == 1
+    assert [r["id"] for r in layers.read("plain", "silver").collect()] == [4]
+
+
+def test_readers_prune_partitions_through_the_name(spark, layers):
+    layers.create("silver")
+    layers.write(spark.range(50).withColumn("day", F.pmod("id", F.lit(5))), "p", "silver", partition_by=["day"])
+    plan = layers.read("p", "silver").where("day = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
