@@ -6,7 +6,7 @@ import traceback
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from crmflow.operators.quality import drop_exact_duplicates
 from crmflow.plans import conform
@@ -16,25 +16,30 @@ from crmflow.plans.dates import AsOf
 from crmflow.plans.lifetime import build_lifetime_value
 from crmflow.plans.profile import build_profile
 from crmflow.plans.segments import build_segments
-from crmflow.sources.files import discover_csv, file_name, read_csv, table_name
+from crmflow.sources.files import CORRUPT, discover_csv, file_name, read_csv, table_name
 from crmflow.sources.tables import LayerTables, add_lineage
 
-REPORT_SCHEMA = "table_name string, source string, status string, row_count bigint, message string"
+REPORT_SCHEMA = "table_name string, source string, status string, row_count bigint, message string, bad_rows bigint"
 
 
 def _run(
-    spark: SparkSession, steps: Mapping[str, tuple[str, Callable[[], int | None]]]
+    spark: SparkSession, steps: Mapping[str, tuple[str, Callable[[], int | dict[str, int] | None]]]
 ) -> DataFrame:
-    """Run steps one by one; a failed step becomes an ERROR row, a step without input SKIPPED."""
+    """Run steps one by one; a failed step becomes an ERROR row, a step without input SKIPPED.
+
+    A step returns its rows, or these and ``bad_rows``: rows of the source that did not fit, or
+    rows with values that a conversion lost.
+    """
     report = []
     for name, (source, step) in steps.items():
         try:
-            rows = step()
-            status = "SUCCESS" if rows is not None else "SKIPPED"
-            report.append((name, source, status, rows, None))
+            done = step()
+            counts = done if isinstance(done, dict) else {"rows": done}
+            status = "SUCCESS" if done is not None else "SKIPPED"
+            report.append((name, source, status, counts["rows"], None, counts.get("bad_rows")))
         except Exception as error:  # reported as a row
             text = str(error).splitlines() or traceback.format_exception_only(error)
-            report.append((name, source, "ERROR", None, text[0]))
+            report.append((name, source, "ERROR", None, text[0], None))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
@@ -44,18 +49,27 @@ def ingest_files(
     mode: str = "overwrite",
     ingested_at: datetime | None = None,
     ingested_on: date | None = None,
+    schemas: Mapping[str, T.StructType | str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read the CSV files of each table (``table -> path or paths``) into the raw layer; returns the report.
 
-    Each row carries the file it came from. Types are inferred over all files of a table.
+    Each row carries the file it came from. Files of a table may differ in the order and number
+    of their columns. Types come from ``schemas`` (``table -> schema``) or are inferred over all
+    files of a table. Rows that do not fit keep their text in ``_corrupt_record`` and are
+    counted in the report.
     """
     tables.create("bronze")
 
-    def step(table: str, paths: str | Sequence[str]) -> Callable[[], int]:
-        def run() -> int:
-            raw = read_csv(tables.spark, paths)
-            stamped = add_lineage(raw, F.col("_metadata.file_path"), ingested_at, ingested_on)
-            return tables.write(stamped, table, "bronze", mode, partition_by=["_ingestion_date"])
+    def step(table: str, paths: str | Sequence[str]) -> Callable[[], dict[str, int]]:
+        def run() -> dict[str, int]:
+            schema = (schemas or {}).get(table)
+            raw = read_csv(
+                tables.spark, paths, schema, multi_line=multi_line, keep_bad_rows=True, file_column="_file"
+            )
+            stamped = add_lineage(raw, F.col("_file"), ingested_at, ingested_on).drop("_file")
+            bad = F.count(CORRUPT).alias("bad_rows")
+            return tables.write(stamped, table, "bronze", mode, ["_ingestion_date"], [bad])
 
         return run
 

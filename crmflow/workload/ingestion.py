@@ -108,13 +108,46 @@ def src_csv_schema(spark: Session, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "documents")
     documents.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
-    return (
-        spark.read.schema(documents.schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
-    )
+    return files.read_csv(spark, path, documents.schema, multi_line=True)
+
+
+@query(
+    "src_csv_by_header",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+              CASE WHEN o_orderkey % 3 < 2 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+)
+def src_csv_by_header(spark: Session, sf_dir: str) -> DataFrame:
+    """Files of three headers: columns in another order, and a column that one lacks."""
+    orders, base = table(spark, sf_dir, "orders"), scratch_path(spark, "headers")
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    headers = [names, names[::-1], names[1:4] + names[:1]]
+    for number, header in enumerate(headers):
+        part = orders.where(F.pmod("o_orderkey", F.lit(3)) == number)
+        _export(part.select(*header), f"{base}/{number}")
+    return files.read_csv(spark, [f"{base}/{n}" for n in range(3)]).select(*names)
+
+
+@query(
+    "src_csv_bad_rows",
+    """SELECT p_partkey, CASE WHEN p_size = 1 THEN NULL ELSE p_size END AS p_size, p_brand,
+              CASE WHEN p_size = 1 THEN p_partkey || ',one,' || p_brand
+                   WHEN p_size = 2 THEN p_partkey || ',2,' || p_brand || ',more' END AS _corrupt_record
+       FROM part""",
+)
+def src_csv_bad_rows(spark: Session, sf_dir: str) -> DataFrame:
+    """Rows with a value of another type or one value too many keep their text; the rest of them is read."""
+    part, path = table(spark, sf_dir, "part"), scratch_path(spark, "bad-rows")
+    size = F.when(F.col("p_size") == 1, "one").otherwise(F.col("p_size").cast("string"))
+    line = F.concat_ws(",", "p_partkey", size, "p_brand", F.when(F.col("p_size") == 2, "more"))
+    # A task writes one file, so its first line is the header.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    header = F.lit("p_partkey,p_size,p_brand")
+    lines = part.select(line.alias("line"), first.alias("first"))
+    lines = lines.select(F.explode(F.when(F.col("first"), F.array(header, "line")).otherwise(F.array("line"))))
+    lines.write.text(path)
+    schema = "p_partkey bigint, p_size int, p_brand string"
+    found = files.read_csv(spark, path, schema, keep_bad_rows=True)
+    return found.withColumn("p_partkey", F.col("p_partkey").cast(part.schema["p_partkey"].dataType))
 
 
 def _profile_sql(name: str, columns: list[tuple[str, str]]) -> str:

@@ -1,12 +1,14 @@
 """Reading, writing and running the layers."""
 
+import gzip
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from crmflow.plans.layers import business_layer, conform_layer, ingest_folder
+from crmflow.plans.layers import business_layer, conform_layer, ingest_files, ingest_folder
 from crmflow.sources import files
+from crmflow.sources.files import read_csv
 from crmflow.sources.tables import LayerTables, add_lineage, replace_partitions, write_output
 from crmflow.storage import scratch_path, shared_dir
 
@@ -182,3 +184,66 @@ def test_readers_prune_partitions_through_the_name(spark, layers):
     layers.write(spark.range(50).withColumn("day", F.pmod("id", F.lit(5))), "p", "silver", partition_by=["day"])
     plan = layers.read("p", "silver").where("day = 2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def lines(path, name, *rows):
+    path.mkdir(exist_ok=True)
+    (path / name).write_text("\n".join(rows) + "\n")
+
+
+def test_files_are_read_by_their_headers(spark, tmp_path):
+    path = tmp_path / "in"
+    lines(path, "a.csv", "id,name,score", "1,ann,1", "2,bob,2")
+    lines(path, "b.csv", "Name,score,id", "cat,2.5,3")
+    lines(path, "c.csv", "id,extra", "4,x")
+    lines(path, "d.csv", "id,name,score")
+    (path / "e.csv").write_text("")
+    with gzip.open(path / "f.csv.gz", "wt") as file:
+        file.write('score,id,"na""me"\n9,5,odd\n')
+    found = read_csv(spark, str(path), "id bigint, name string, score double")
+    assert found.dtypes == [("id", "bigint"), ("name", "string"), ("score", "double")]
+    assert sorted(map(tuple, found.collect())) == [
+        (1, "ann", 1.0), (2, "bob", 2.0), (3, "cat", 2.5), (4, None, None), (5, None, 9.0)
+    ]
+    guessed = read_csv(spark, [f"{path}/a.csv", f"{path}/b.csv"])
+    assert guessed.where("id = 3").select("id", "name", "score").first() == (3, "cat", 2.5)
+    assert dict(guessed.dtypes)["score"] == "double"
+
+
+def test_types_common_to_all_files(spark, tmp_path):
+    path = tmp_path / "in"
+    lines(path, "a.csv", "k,flag,day,n", "1,true,2024-01-01,5")
+    lines(path, "b.csv", "flag,k,n,day", "7,x,99999999999,2024-01-02 10:00:00")
+    found = dict(read_csv(spark, str(path)).dtypes)
+    assert found == {"k": "string", "flag": "string", "day": "timestamp", "n": "bigint"}
+
+
+def test_repeated_and_missing_names(spark, tmp_path):
+    path = tmp_path / "in"
+    lines(path, "a.csv", "a,,a", "1,2,3")
+    assert read_csv(spark, str(path)).collect() == [(1, 2, 3)]
+    assert read_csv(spark, str(path)).columns == ["a0", "_c1", "a2"]
+    assert read_csv(spark, str(tmp_path / "in"), "b string").collect() == [(None,)]
+
+
+def test_bad_rows_are_kept_and_counted(spark, layers, tmp_path):
+    path = tmp_path / "in"
+    lines(path, "t.csv", "id,name", "1,ann", "two,bob", "3", "4,cat,more")
+    lines(path, "u.csv", "name,id", '"line\nend, quoted ""so""",5', "x,y,z")
+    report = ingest_files(layers, {"t": str(path)}, schemas={"t": "id bigint, name string"}, multi_line=True)
+    row = report.first()
+    assert (row["status"], row["row_count"], row["bad_rows"]) == ("SUCCESS", 6, 4)
+    found = layers.read("t", "bronze")
+    assert sorted((r["id"] or 0, r["name"] or "", r["_corrupt_record"] is None) for r in found.collect()) == [
+        (0, "bob", False), (0, "x", False), (1, "ann", True), (3, "", False), (4, "cat", False),
+        (5, 'line\nend, quoted "so"', True),
+    ]
+    assert {r[0].rsplit("/", 1)[1] for r in found.select("_source_file").distinct().collect()} == {"t.csv", "u.csv"}
+
+
+def test_no_files_to_read(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("")
+    assert read_csv(spark, str(tmp_path / "in"), "a int, b string").collect() == []
+    with pytest.raises(Exception):
+        read_csv(spark, str(tmp_path / "absent"))
