@@ -13,8 +13,8 @@ from crmflow.plans.daily import build_daily_metrics
 from crmflow.plans.lifetime import build_lifetime_value
 from crmflow.plans.profile import build_profile, loyalty_rollup, service_rollup, transaction_rollup
 from crmflow.workload import roles
-from crmflow.workload.registry import query
-from crmflow.workload.role_sql import half_up, using
+from crmflow.workload.registry import query, table
+from crmflow.workload.role_sql import half_up, total, using
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +139,7 @@ def churn_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     using(
         "segments",
         f"""SELECT customer_segment, churn_risk, count(*) AS customer_count,
-                   {half_up("CAST(sum(CAST(round(monetary * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 / count(*)")}
+                   {half_up(f"{total('monetary')} / count(*)")}
                      AS avg_spend,
                    avg(frequency) AS avg_frequency
             FROM segments GROUP BY 1, 2""",
@@ -241,3 +241,52 @@ def topk_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
         "preferred_channel",
         "is_active",
     )
+
+
+_ODD = """CASE o_orderkey % 13 WHEN 0 THEN 'NaN'::DOUBLE WHEN 1 THEN 'Infinity'::DOUBLE WHEN 2 THEN '-Infinity'::DOUBLE
+               WHEN 3 THEN 1e16::DOUBLE WHEN 4 THEN -1e18::DOUBLE WHEN 5 THEN (o_orderkey % 1000003) / 1000000.0::DOUBLE
+               WHEN 6 THEN NULL WHEN 7 THEN 0.1::DOUBLE WHEN 8 THEN 123456789012.345678::DOUBLE ELSE o_totalprice END"""
+
+
+@query(
+    "money_exact",
+    f"""
+    WITH t AS (SELECT o_custkey, o_orderdate, o_orderstatus, {_ODD} AS raw FROM orders),
+         a AS (SELECT *, CASE WHEN isfinite(raw) AND abs(raw) < 1e18 THEN raw END AS amount FROM t)
+    SELECT o_custkey AS customer_id, count(*) AS total_transactions, {total("amount")} AS total_spend,
+           {total("amount")} / count(amount) AS avg_transaction_value,
+           max(amount) AS max_transaction_value, min(amount) AS min_transaction_value,
+           {total("CASE WHEN o_orderstatus = 'F' THEN amount ELSE 0 END")} AS online_spend,
+           {total("CASE WHEN o_orderstatus <> 'F' THEN amount ELSE 0 END")} AS instore_spend
+    FROM a GROUP BY o_custkey""",
+)
+def money_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums, means and extremes of amounts with six places, beyond 10^16, not finite, or missing."""
+    kind = F.pmod("o_orderkey", F.lit(13))
+    small = F.pmod("o_orderkey", F.lit(1_000_003)) / F.lit(1_000_000.0)
+    odd = [
+        float("nan"), float("inf"), float("-inf"), 1e16, -1e18, small, F.lit(None).cast("double"), 0.1, 123456789012.345678,
+    ]
+    amount = F.col("o_totalprice")
+    for number, value in enumerate(odd):
+        amount = F.when(kind == number, value).otherwise(amount)
+    channel = F.when(F.col("o_orderstatus") == "F", "online").otherwise("instore")
+    transactions = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("transaction_date"),
+        F.year("o_orderdate").alias("transaction_year"),
+        F.month("o_orderdate").alias("transaction_month"),
+        F.lit(False).alias("is_weekend"),
+        channel.alias("channel"),
+        amount.alias("amount"),
+    )
+    return transaction_rollup(transactions, roles.AS_OF).select(
+        "customer_id",
+        "total_transactions",
+        "total_spend",
+        "avg_transaction_value",
+        "max_transaction_value",
+        "min_transaction_value",
+        "online_spend",
+        "instore_spend",
+    )

@@ -11,11 +11,19 @@ def half_up(value: str, places: int = 2) -> str:
 
 
 def units(amount: str) -> str:
-    return f"CAST(round(({amount}) * 10000) AS BIGINT)"
+    """The decimal that a finite amount below 10^18 is written as, in ten-thousandths; NULL for others."""
+    return (
+        f"CASE WHEN isfinite(CAST({amount} AS DOUBLE)) AND abs({amount}) < 1e18 "
+        f"THEN CAST(CAST(CAST({amount} AS VARCHAR) AS DECIMAL(28, 10)) * 10000 AS DECIMAL(38, 6)) END"
+    )
+
+
+def from_units(total: str) -> str:
+    return f"(CAST(CAST({total} AS VARCHAR) AS DOUBLE) / 10000.0)"
 
 
 def total(amount: str) -> str:
-    return f"(CAST(sum({units(amount)}) AS DOUBLE) / 10000.0)"
+    return from_units(f"sum({units(amount)})")
 
 
 def percent(part: str, whole: str, otherwise: str = "0.0") -> str:

@@ -1,6 +1,8 @@
 """Edge rows that the given tables do not hold."""
 
+import random
 from datetime import date, datetime
+from decimal import ROUND_HALF_UP, Decimal
 from itertools import product
 
 import pytest
@@ -15,6 +17,7 @@ from crmflow.plans.bands import label
 from crmflow.plans.campaigns import build_campaign_performance
 from crmflow.plans.daily import build_daily_metrics
 from crmflow.plans.lifetime import build_lifetime_value
+from crmflow.plans.money import units
 from crmflow.plans.profile import build_profile, loyalty_rollup, transaction_rollup
 from crmflow.sources.files import literal_rows
 from tests.conftest import values
@@ -407,3 +410,35 @@ def test_broadcast_check_measures_rows_and_bytes(spark):
     assert fits_broadcast(wide)
     assert not fits_broadcast(wide, SkewPolicy(broadcast_rows=9))
     assert not fits_broadcast(wide, SkewPolicy(broadcast_bytes=5_000))
+
+
+def test_money_is_exact(spark):
+    """Sums of decimals as written, whatever the order; one rule for what is no amount."""
+    nan, inf = float("nan"), float("inf")
+    amounts = [0.1, 0.2, 0.3, 1e-10, 2.5e-11, 1e16, -1e16, 123456789.123456, 9e17, -9e17, 0.00005, 12345678901.2345]
+    rng = random.Random(1)
+    amounts += [round(rng.uniform(-1e6, 1e6), rng.randrange(8)) for _ in range(2000)]
+    want = sum(Decimal(repr(a)).quantize(Decimal("1e-10"), ROUND_HALF_UP) for a in amounts)
+    for _ in range(2):
+        rng.shuffle(amounts)
+        rows = spark.createDataFrame([(a,) for a in [*amounts, nan, inf, -inf, None, 1e18, -1e300]], "a double")
+        found = rows.repartition(7).agg(F.sum(units(F.col("a"))), F.count(units(F.col("a")))).first()
+        assert found[0] == want * 10_000 and found[1] == len(amounts)
+    for kind in ("int", "bigint", "decimal(20,7)", "float"):
+        one = spark.createDataFrame([("7.25",)], "a string").select(F.col("a").cast("double").cast(kind).alias("a"))
+        assert float(one.select(units(F.col("a"))).first()[0]) in (70_000.0, 72_500.0)
+
+
+def test_one_rule_for_amounts(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, nan), (1, 5.0), (1, inf), (2, -inf), (2, None), (3, 1e16), (3, 0.000001), (3, 1e18)]
+    transactions = spark.createDataFrame(rows, "customer_id bigint, amount double").selectExpr(
+        "*", "date'2024-01-01' AS transaction_date", "2024 AS transaction_year", "1 AS transaction_month",
+        "false AS is_weekend", "'online' AS channel",
+    )
+    found = transaction_rollup(transactions, "2024-02-01").select(
+        "customer_id", "total_spend", "avg_transaction_value", "max_transaction_value", "min_transaction_value"
+    )
+    assert sorted(map(tuple, found.collect())) == [
+        (1, 5.0, 5.0, 5.0, 5.0), (2, None, None, None, None), (3, 1e16, 5e15, 1e16, 0.000001)
+    ]
