@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from crmflow.operators.search import longest_keys
 from crmflow.operators.skew import (
     DEFAULT_POLICY,
     SkewPolicy,
@@ -15,6 +16,7 @@ from crmflow.operators.skew import (
     join_unique,
     split_hot,
 )
+from crmflow.storage import materialize
 
 KeyPair = str | tuple[str, str]
 
@@ -193,11 +195,17 @@ def find_replace(
         raise ValueError(f"unknown find mode {mode!r}")
     if mode != "whole" and keys.limit(_KEYS_PER_ROW_SCAN + 1).count() <= _KEYS_PER_ROW_SCAN:
         joined = _scan_keys(df, field, keys, mode)
+    elif mode == "any":
+        found = longest_keys(df, field, keys, "_found", "_found")
+        if fits_broadcast(keys, policy):
+            joined = found.join(F.broadcast(keys), "_found", "left")
+        else:
+            joined = join_unique(materialize(found, "searched"), keys, ["_found"], "left", policy)
     else:
         values = (
             keys.withColumn(field, F.col("_found"))
             if mode == "whole"
-            else _best_key(df, field, keys, mode, policy)
+            else _longest_prefix(df, field, keys, policy)
         )
         if fits_broadcast(values, policy):
             joined = df.join(F.broadcast(values), field, "left")
@@ -238,12 +246,10 @@ def _scan_keys(df: DataFrame, field: str, keys: DataFrame, mode: str) -> DataFra
     return df.withColumn("_found", found).join(F.broadcast(keys), "_found", "left")
 
 
-def _best_key(
-    df: DataFrame, field: str, keys: DataFrame, mode: str, policy: SkewPolicy
-) -> DataFrame:
-    """For each distinct value of ``field``, the longest of very many keys that it starts with or contains.
+def _longest_prefix(df: DataFrame, field: str, keys: DataFrame, policy: SkewPolicy) -> DataFrame:
+    """For each distinct value of ``field``, the longest of very many keys that it starts with.
 
-    An equi-join on the value's substrings of the keys' lengths: no value is compared
+    An equi-join on the value's beginnings of the keys' lengths: no value is compared
     with every key, and neither side has a size limit.
     """
     lengths = keys.where(F.length("_found") > 0).agg(
@@ -253,15 +259,7 @@ def _best_key(
     values = values.withColumn("_length", F.explode(lengths.scalar())).where(
         F.col("_length") <= F.length(field)
     )
-    if mode == "any":
-        values = values.withColumn(
-            "_at", F.explode(F.sequence(F.lit(1), F.length(field) - F.col("_length") + 1))
-        )
-    else:
-        values = values.withColumn("_at", F.lit(1))
-    pieces = values.select(
-        field, F.substring(F.col(field), F.col("_at"), F.col("_length")).alias("_found")
-    )
+    pieces = values.select(field, F.substring(F.col(field), F.lit(1), F.col("_length")).alias("_found"))
     if fits_broadcast(keys, policy):
         hits = pieces.join(F.broadcast(keys), "_found")
     else:

@@ -426,11 +426,13 @@ def join_right(spark: Session, sf_dir: str) -> DataFrame:
 @query(
     "find_replace",
     """SELECT o_orderkey, o_custkey, coalesce(c_name, CAST(o_custkey AS VARCHAR)) AS customer, c_mktsegment
-       FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_nationkey < 20""",
+       FROM orders LEFT JOIN (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey AND n_regionkey <> 0) c
+         ON o_custkey = c_custkey""",
 )
 def find_replace(spark: Session, sf_dir: str) -> DataFrame:
     """Customer numbers replaced by names where the lookup has them; every lookup row is there twice."""
-    customer = table(spark, sf_dir, "customer").where("c_nationkey < 20")
+    nation = table(spark, sf_dir, "nation").where("n_regionkey <> 0")
+    customer = table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
     lookup = customer.select(F.col("c_custkey").cast("string").alias("number"), "c_name", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_custkey").cast("string").alias("customer")
@@ -476,6 +478,26 @@ def find_replace_any(spark: Session, sf_dir: str) -> DataFrame:
     return joins.find_replace(part.select("p_partkey", "p_name"), "p_name", lookup, "word", "code", mode="any")
 
 
+@query(
+    "find_replace_any_texts",
+    r"""WITH keys AS (SELECT DISTINCT left(text, 12) AS key, 'K' || length(left(text, 12)) AS code FROM documents WHERE text <> '')
+       SELECT doc_id, sha256(CASE WHEN key IS NULL THEN text ELSE replace(text, key, code) END) AS text_sha256, code
+       FROM documents LEFT JOIN keys ON contains(text, key)
+       QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(key) DESC NULLS LAST, key) = 1""",
+)
+def find_replace_any_texts(spark: Session, sf_dir: str) -> DataFrame:
+    """The beginnings of all documents as keys, looked for anywhere in all documents."""
+    documents = table(spark, sf_dir, "documents")
+    start = F.left("text", F.lit(12))
+    lookup = documents.where("text <> ''").select(
+        start.alias("key"), F.concat(F.lit("K"), F.length(start)).alias("code")
+    )
+    found = joins.find_replace(
+        documents.select("doc_id", "text"), "text", lookup, "key", "code", append=["code"], mode="any"
+    )
+    return found.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "code")
+
+
 @query("append_fields", "SELECT s_suppkey, s_name, r_regionkey, r_name FROM supplier, region")
 def append_fields(spark: Session, sf_dir: str) -> DataFrame:
     return joins.append_fields(

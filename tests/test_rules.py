@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from crmflow.functions import scalar
 from crmflow.operators import aggregate, filters, joins, project, quality, rows, text
 from crmflow.operators.aggregate import Summary
+from crmflow.operators.search import longest_keys
 from crmflow.operators.skew import SkewPolicy
 from crmflow.plans import bands, conform, segments
 from crmflow.plans.bands import label
@@ -442,3 +443,36 @@ def test_one_rule_for_amounts(spark):
     assert sorted(map(tuple, found.collect())) == [
         (1, 5.0, 5.0, 5.0, 5.0), (2, None, None, None, None), (3, 1e16, 5e15, 1e16, 0.000001)
     ]
+
+
+def test_longest_keys_by_brute_force(spark):
+    rng = random.Random(2)
+    keys = ["".join(rng.choice("abé語") for _ in range(rng.randrange(1, 6))) for _ in range(300)] + ["", None]
+    texts = ["".join(rng.choice("abcé語🙂") for _ in range(rng.randrange(0, 60))) for _ in range(200)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    table = spark.createDataFrame([(k,) for k in keys + keys[:50]], "k string")
+    want = {
+        i: min((k for k in keys if k and t and k in t), key=lambda k: (-len(k), k), default=None)
+        for i, t in enumerate(texts)
+    }
+    for block_bytes in (1 << 20, 300):
+        found = longest_keys(df, "t", table, "k", "best", block_bytes)
+        assert {r["i"]: r["best"] for r in found.collect()} == want
+    assert longest_keys(df, "t", table.limit(0), "k", "best").where("best IS NOT NULL").count() == 0
+
+
+def test_many_keys_in_long_texts(spark):
+    """A hundred thousand keys and texts of twenty thousand words: each text is read once."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**9):x}" for _ in range(20_000)]
+    texts = [" ".join(rng.sample(words, len(words))) + (" needle-99999 needle-7" if i % 2 else "") for i in range(8)]
+    lookup = spark.range(100_000).select(
+        F.concat(F.lit("needle-"), "id").alias("f"), F.concat(F.lit("N"), "id").alias("n")
+    )
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = joins.find_replace(df, "t", lookup, "f", "n", mode="any")
+    for row in found.collect():
+        want = texts[row["i"]].replace("needle-99999", "N99999")
+        assert row["t"] == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "Generate" not in plan
