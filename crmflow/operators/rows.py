@@ -20,6 +20,8 @@ from crmflow.operators.skew import DEFAULT_POLICY, SkewPolicy
 
 # Spark pre-limits row_number() <= n on the map side up to this n.
 _GROUP_LIMIT = 1_000
+#: Samples of up to this many rows are sorted as a whole, a few rows per task.
+_SORTED_SAMPLE = 10_000
 
 
 def union_by_name(inputs: Sequence[DataFrame]) -> DataFrame:
@@ -93,6 +95,32 @@ def key_sample(df: DataFrame, keys: Sequence[str], percent: float) -> DataFrame:
     return df.where(bits < int(percent / 100 * 2**32))
 
 
+def fixed_sample(df: DataFrame, size: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
+    """``size`` rows (all, if there are fewer): those of the smallest seeded key hashes.
+
+    Every set of keys is as likely as any other, and the choice does not depend on the
+    partitioning. The hash is the MD5 of the seed and the keys' text; ties go by the row's
+    content. A large sample is cut at a bucket of hashes, found from counts per bucket, and only
+    rows of that bucket are sorted.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    hashed = df.withColumn("_draw", F.md5(text))
+    order = [F.col("_draw"), row_hash(df)]
+    if size <= _SORTED_SAMPLE:
+        return hashed.orderBy(*order).limit(size).drop("_draw")
+    # 2 ** 20 buckets of about equal size.
+    bucketed = hashed.withColumn("_bucket", F.left("_draw", F.lit(5)))
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_bucket")) - F.col("_rows")
+    cut = counts.withColumn("_before", before).where(F.col("_before") < size).agg(
+        F.max(F.struct("_bucket", "_before")).alias("cut")
+    ).first()["cut"]
+    if cut is None:
+        return df
+    rest = bucketed.where(F.col("_bucket") == cut["_bucket"]).orderBy(*order).limit(size - cut["_before"])
+    return bucketed.where(F.col("_bucket") < cut["_bucket"]).unionByName(rest).drop("_draw", "_bucket")
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 

@@ -11,6 +11,10 @@ from crmflow.plans.bands import is_weekend
 from crmflow.plans.money import from_units, mean_of_units, units
 
 
+#: Two to this power registers of a sketch.
+SKETCH_BITS = 14
+
+
 def daily_totals() -> list[Column]:
     """The additive aggregates of the table."""
     amount = units(F.col("amount"))
@@ -33,19 +37,45 @@ def daily_parts(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("transaction_date", "customer_id").agg(*daily_totals())
 
 
+_PART_KEYS = ["transaction_date", "customer_id"]
+
+
+def _part_sums(parts: DataFrame) -> list[Column]:
+    return [F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in parts.columns if c not in _PART_KEYS]
+
+
+def add_daily_parts(parts: DataFrame) -> DataFrame:
+    """One part per day and customer from parts in which these may occur several times."""
+    return parts.groupBy(*_PART_KEYS).agg(*_part_sums(parts))
+
+
 def merge_daily_parts(parts: DataFrame) -> DataFrame:
     """The daily table from parts in which a day and customer may occur several times."""
-    keys = ["transaction_date", "customer_id"]
-    sums = [F.sum(c).alias(c) for c in parts.columns if c not in keys]
     totals = (
-        parts.groupBy(*keys)
-        .agg(*sums)
+        add_daily_parts(parts)
         .groupBy("transaction_date")
-        .agg(*sums, F.count("customer_id").alias("unique_customers"))
+        .agg(*_part_sums(parts), F.count("customer_id").alias("unique_customers"))
     )
     return daily_columns(totals, "transaction_date")
 
 
+def customer_sketches(transactions: DataFrame, day: str = "transaction_date") -> DataFrame:
+    """A sketch of the customers of each day, to be stored: ``customers`` of some kilobytes at most.
+
+    Sketches of any days merge, which exact counts do not; the error of an estimate is about
+    0.8 percent (one standard deviation), however many are merged.
+    """
+    return transactions.groupBy(day).agg(
+        F.hll_sketch_agg(F.col("customer_id").cast("string"), SKETCH_BITS).alias("customers")
+    )
+
+
+def customers_over(sketches: DataFrame, *span: Column) -> DataFrame:
+    """Estimated number of distinct customers (``customers``) over the days of each span."""
+    merged = sketches.groupBy(*span).agg(F.hll_union_agg("customers").alias("_merged"))
+    return merged.withColumn("customers", F.hll_sketch_estimate("_merged")).drop("_merged")
+
+
 def daily_columns(totals: DataFrame, day: str) -> DataFrame:
     """The table's columns from the aggregates above."""
     revenue, online = from_units(F.col("_revenue")), from_units(F.col("_online"))

@@ -43,3 +43,23 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path that a write has finished; none if it is missing."""
+    system, place = _folder(spark, path)
+    if not system.exists(place):
+        return []
+    child = spark._jvm.org.apache.hadoop.fs.Path
+    folders = [status.getPath() for status in system.listStatus(place) if status.isDirectory()]
+    return sorted(f.getName() for f in folders if system.exists(child(f, "_SUCCESS")))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, place = _folder(spark, path)
+    system.delete(place, True)

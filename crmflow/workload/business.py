@@ -9,9 +9,10 @@ from crmflow.operators.rows import top_k
 from crmflow.plans import bands, conform, segments
 from crmflow.plans.bands import label
 from crmflow.plans.campaigns import build_campaign_performance, campaign_ranking
-from crmflow.plans.daily import build_daily_metrics
+from crmflow.plans.daily import build_daily_metrics, customer_sketches, customers_over
 from crmflow.plans.lifetime import build_lifetime_value
 from crmflow.plans.profile import build_profile, loyalty_rollup, service_rollup, transaction_rollup
+from crmflow.storage import materialize
 from crmflow.workload import roles
 from crmflow.workload.registry import query, table
 from crmflow.workload.role_sql import half_up, total, using
@@ -290,3 +291,24 @@ def money_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
         "online_spend",
         "instore_spend",
     )
+
+
+@query(
+    "daily_customer_sketches",
+    using(
+        "transactions",
+        """SELECT CAST(year(transaction_date) AS INTEGER) AS year, count(DISTINCT customer_id) AS customers, true AS near
+           FROM transactions GROUP BY 1""",
+    ),
+)
+def daily_customer_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per year from the stored sketches of its days, beside the exact count and within 4 percent of it."""
+    transactions = roles.transactions(spark, sf_dir)
+    sketches = materialize(customer_sketches(transactions), "sketches")
+    year = F.year("transaction_date").alias("year")
+    exact = transactions.groupBy(year).agg(F.count_distinct("customer_id").alias("exact"))
+    estimated = customers_over(sketches, year).withColumnRenamed("year", "of")
+    error = F.abs(F.col("customers") - F.col("exact"))
+    return exact.join(estimated, F.col("year").eqNullSafe(F.col("of"))).select(
+        "year", F.col("exact").alias("customers"), (error <= F.col("exact") * 0.04).alias("near")
+    )

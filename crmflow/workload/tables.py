@@ -805,6 +805,17 @@ def sample_random(spark: Session, sf_dir: str) -> DataFrame:
     return rows.random_sample(table(spark, sf_dir, "lineitem"), 0.1, seed=42)
 
 
+@query(
+    "sample_fixed",
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+       ORDER BY md5('7|' || o_orderkey || '|' || o_custkey) LIMIT 500""",
+)
+def sample_fixed(spark: Session, sf_dir: str) -> DataFrame:
+    """Five hundred orders, each set of them as likely as any other."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return rows.fixed_sample(orders, 500, ["o_orderkey", "o_custkey"], seed=7)
+
+
 @query(
     "unique_first",
     """SELECT user_id, event_type, event_id, ts FROM events

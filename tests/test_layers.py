@@ -1,6 +1,7 @@
 """Reading, writing and running the layers."""
 
 import gzip
+import random
 from datetime import date, datetime
 
 import pytest
@@ -10,7 +11,11 @@ from crmflow.plans.layers import business_layer, conform_layer, ingest_files, in
 from crmflow.sources import files
 from crmflow.sources.files import read_csv
 from crmflow.sources.tables import LayerTables, add_lineage, replace_partitions, write_output
+from crmflow.plans.daily import build_daily_metrics, daily_parts
 from crmflow.storage import scratch_path, shared_dir
+from crmflow.streaming import daily
+from crmflow.streaming.daily import compact_daily_parts, read_daily_metrics, stream_daily_parts
+from tests.conftest import values
 
 
 @pytest.fixture
@@ -247,3 +252,55 @@ def test_no_files_to_read(spark, tmp_path):
     assert read_csv(spark, str(tmp_path / "in"), "a int, b string").collect() == []
     with pytest.raises(Exception):
         read_csv(spark, str(tmp_path / "absent"))
+
+
+def sales(rng, batch, count):
+    """Rows of the last days before a batch, now and then of a day long past, and some without a date."""
+    rows = []
+    for _ in range(count):
+        day = None if rng.random() < 0.02 else rng.choice([batch, batch, batch - 1, rng.randrange(0, batch + 1)])
+        rows.append(
+            (
+                None if day is None else date(2024, 1, 2 + day), rng.randrange(30), rng.choice(["online", "instore"]),
+                rng.choice(["Completed", "Failed"]), round(rng.uniform(0, 90), 2),
+            )
+        )
+    return rows
+
+
+SALES = "transaction_date date, customer_id bigint, channel string, status string, amount double"
+
+
+def test_stream_is_compacted_into_snapshots(spark, tmp_path):
+    """Reading takes one snapshot and the batches since, and late rows count."""
+    rng = random.Random(6)
+    source, target = tmp_path / "sales", str(tmp_path / "daily")
+    everything = []
+    for batch in range(11):
+        rows = sales(rng, batch, 40)
+        everything += rows
+        spark.createDataFrame(rows, SALES).coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(SALES).parquet(str(source))
+        stream_daily_parts(stream, target, str(tmp_path / "progress"), compact_every=4).awaitTermination()
+        folders, snapshots, batches = daily._open_parts(spark, target)
+        assert len(folders) <= 4 and len(batches) <= 8 and len(snapshots) <= 2
+        want = build_daily_metrics(spark.createDataFrame(everything, SALES))
+        if batch in (2, 3, 7, 10):
+            assert values(read_daily_metrics(spark, target)) == values(want)
+
+
+def test_unfinished_snapshots_are_not_read(spark, tmp_path):
+    target = str(tmp_path / "daily")
+    rows = spark.createDataFrame(sales(random.Random(1), 3, 50), SALES)
+    for number in range(3):
+        daily_parts(rows).write.parquet(f"{target}/batches/upto={number}")
+    want = values(read_daily_metrics(spark, target))
+    daily_parts(rows).write.parquet(f"{target}/snapshots/upto=1")
+    (tmp_path / "daily" / "snapshots" / "upto=1" / "_SUCCESS").unlink()
+    assert values(read_daily_metrics(spark, target)) == want
+    # A batch that runs again finds its snapshot, or writes the unfinished one anew.
+    compact_daily_parts(spark, target, 1)
+    compact_daily_parts(spark, target, 1)
+    assert values(read_daily_metrics(spark, target)) == want
+    with pytest.raises(FileNotFoundError):
+        read_daily_metrics(spark, str(tmp_path / "none"))

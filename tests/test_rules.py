@@ -16,7 +16,7 @@ from crmflow.operators.skew import SkewPolicy
 from crmflow.plans import bands, conform, segments
 from crmflow.plans.bands import label
 from crmflow.plans.campaigns import build_campaign_performance
-from crmflow.plans.daily import build_daily_metrics
+from crmflow.plans.daily import build_daily_metrics, customer_sketches, customers_over
 from crmflow.plans.lifetime import build_lifetime_value
 from crmflow.plans.money import units
 from crmflow.plans.profile import build_profile, loyalty_rollup, transaction_rollup
@@ -476,3 +476,32 @@ def test_many_keys_in_long_texts(spark):
         assert row["t"] == want
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "Generate" not in plan
+
+
+def test_fixed_samples(spark, monkeypatch):
+    df = spark.range(3000).withColumn("g", F.pmod("id", F.lit(7)))
+    small = values(rows.fixed_sample(df, 100, ["id"], seed=1))
+    assert len(small) == 100
+    # Another partitioning and the plan for large samples choose the same rows.
+    assert values(rows.fixed_sample(df.repartition(13), 100, ["id"], seed=1)) == small
+    monkeypatch.setattr(rows, "_SORTED_SAMPLE", 0)
+    assert values(rows.fixed_sample(df, 100, ["id"], seed=1)) == small
+    assert values(rows.fixed_sample(df, 100, ["id"], seed=2)) != small
+    assert rows.fixed_sample(df, 5000, ["id"]).count() == 3000
+    assert rows.fixed_sample(df.limit(0), 5, ["id"]).count() == 0
+    # Rows of one key are told apart by their content.
+    assert rows.fixed_sample(df.withColumn("k", F.lit(None).cast("string")), 40, ["k"]).count() == 40
+
+
+def test_customer_sketches_merge(spark):
+    sales = spark.range(200_000).selectExpr(
+        "id % 20000 AS customer_id", "date_add(date'2024-01-01', CAST(id % 60 AS INT)) AS transaction_date"
+    )
+    sketches = customer_sketches(sales)
+    month = F.month("transaction_date").alias("month")
+    exact = {r[0]: r[1] for r in sales.groupBy(month).agg(F.count_distinct("customer_id")).collect()}
+    for row in customers_over(sketches, month).collect():
+        assert abs(row["customers"] - exact[row["month"]]) <= 0.04 * exact[row["month"]]
+    total = customers_over(sketches).first()["customers"]
+    assert abs(total - 20_000) <= 800
+    assert sketches.agg(F.max(F.length("customers"))).first()[0] < 20_000
