@@ -33,8 +33,8 @@ PERCENT = 80
 #: A pair at the threshold meets with probability 1 - (1 - 0.8 ** 3) ** 8, above 0.99.
 BANDS, ROWS = 8, 3
 _SPACE = b" \t\n\x0b\x0c\r"
-#: Characters hashed at once.
-_CHUNK = 1 << 18
+#: Characters hashed at once; their hashes fit the cache.
+_CHUNK = 1 << 16
 
 _BASE = 0x9E3779B97F4A7C15
 _SEEDS = mix(np.arange(2 * BANDS * ROWS, dtype=np.uint64))
@@ -200,10 +200,10 @@ def _measured(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(giving_back(run), "class bigint, text string, copies bigint, n bigint, sketch binary")
 
 
-def repeated_lines(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT
-) -> DataFrame:
-    """Per document (id, text_key): ``n_lines`` with a word, and the numbers of those to ``remove``."""
+def _lines_gone(
+    docs: DataFrame, id_column: str, text_column: str, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """All lines with a word, and those to be removed: rows (id, text_key, line, …)."""
     rows = _keyed(docs, id_column, text_column)
     lines = materialize(_occurrences(rows), "lines")
     total = lines.count()
@@ -217,18 +217,32 @@ def repeated_lines(
         return classes.select("class", "text").join(wanted, "class")
 
     labels = link_classes(buckets, classes, fetch, line_sets, percent)
+    # A line that is there once and like no other stays, and is not looked at again.
+    roots = labels.select(F.col("component").alias("class"), "component").distinct()
+    named = labels.select(F.col("node").alias("class"), "component").unionAll(roots)
+    doubtful = copies.join(named, "class", "left").filter("copies > 1 OR component IS NOT NULL")
+    doubtful = doubtful.select("class", F.coalesce("component", "class").alias("label"))
+    known = materialize(lines.join(doubtful, "class").drop("class"), "line-places")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_key", "line")
-    firsts = lines.groupBy("class").agg(F.min(place).alias("first"))
-    known = firsts.join(labels.withColumnRenamed("node", "class"), "class", "left")
-    known = known.withColumn("label", F.coalesce("component", "class"))
-    keepers = known.groupBy("label").agg(F.min("first").alias("keep"))
-    kept = known.join(keepers, "label").select("class", "keep")
+    keepers = known.groupBy("label").agg(F.min(place).alias("keep"))
     # Ids may be null, so the comparison is null-safe.
-    marked = lines.join(kept, "class").withColumn("gone", ~place.eqNullSafe(F.col("keep")))
-    return marked.groupBy("id", "text_key").agg(
-        F.count_distinct("line").alias("n_lines"),
-        F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line")))).alias("remove"),
-    )
+    return lines, known.join(keepers, "label").filter(~place.eqNullSafe(F.col("keep")))
+
+
+def _numbers(gone: DataFrame) -> DataFrame:
+    return gone.groupBy("id", "text_key").agg(F.array_sort(F.collect_set("line")).alias("remove"))
+
+
+def repeated_lines(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """Per document (id, text_key): ``n_lines`` with a word, and the numbers of those to ``remove``."""
+    lines, gone = _lines_gone(docs, id_column, text_column, percent)
+    totals = lines.groupBy("id", "text_key").agg(F.count_distinct("line").alias("n_lines"))
+    found = _numbers(gone).select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "remove")
+    same = totals["id"].eqNullSafe(found["_id"]) & (totals["text_key"] == found["_key"])
+    none = F.array().cast("array<bigint>")
+    return totals.join(found, same, "left").select("id", "text_key", "n_lines", F.coalesce("remove", none).alias("remove"))
 
 
 @F.arrow_udf(StringType())
@@ -250,7 +264,7 @@ def dedup_lines(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """The rows of ``docs`` without their repeated lines; all other columns stay as they are."""
-    found = repeated_lines(docs, id_column, text_column, percent).filter(F.size("remove") > 0)
+    found = _numbers(_lines_gone(docs, id_column, text_column, percent)[1])
     found = found.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "remove")
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     text = docs[text_column]

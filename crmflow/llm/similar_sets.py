@@ -27,6 +27,8 @@ GROUP_WORDS = 4_000_000
 PACK_WORDS = 2_000_000
 #: Members of a bucket compared in one step; larger buckets are cut in blocks.
 BLOCK_MEMBERS = 1000
+#: Up to this many members, all pairs are compared at once (a few thousand sketches).
+SMALL_BLOCK = 48
 #: Bits of the bitmap that tells wanted keys from most others (1 MB).
 FILTER_BITS = 1 << 23
 
@@ -233,6 +235,21 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
         sketches = np.stack([_folded(r[7], words) for r in rows])
         side, name, label, size = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
         crossed = rows[0][1] != rows[0][2]
+        if len(rows) <= SMALL_BLOCK:
+            # All pairs of a small block at once.
+            i, j = np.triu_indices(len(rows), 1)
+            meets = label[i] != label[j]
+            if crossed:
+                meets &= side[i] != side[j]
+            meets &= np.minimum(size[i], size[j]) * 100 >= np.maximum(size[i], size[j]) * percent
+            i, j = i[meets], j[meets]
+            distance = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64)
+            near = _may_link(distance, size[i] + size[j], percent)
+            i, j = i[near], j[near]
+            heads = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else i
+            for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(i)]):
+                yield int(name[i[a]]), name[j[a:b]]
+            return
         for i in range(len(rows) - 1):
             others = label[i + 1 :] != label[i]
             if crossed:
