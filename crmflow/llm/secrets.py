@@ -13,6 +13,7 @@ points, ends exclusive. Other columns are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,10 +30,13 @@ _HEX = r"[0-9a-f]{16,}"
 #: Tokens that the models judge: runs of these characters, of this length or more.
 TOKEN_CHARACTERS = "A-Za-z0-9+/_-"
 MIN_TOKEN = 16
-#: Log-likelihood ratio from which a token counts as random: odds of e**12 against chance.
-MIN_RATIO = 12.0
-#: Texts whose words train the model of identifiers, and as many random strings of each form.
+#: Log-likelihood ratio from which a token counts as random: e**6 times as likely as an ordinary one.
+MIN_RATIO = 6.0
+#: Weight of the kinds of two characters against the pair itself.
+KIND_SHARE = 0.4
+#: Texts whose tokens and words train the model of identifiers, and as many random strings of each form.
 TRAINING_TEXTS = 500
+_SHORT = f"(?<![{TOKEN_CHARACTERS}])[{TOKEN_CHARACTERS}]{{3,{MIN_TOKEN - 1}}}(?![{TOKEN_CHARACTERS}])"
 _CODES = 128
 _ALPHABET = "+/_-" + "".join(chr(c) for c in range(_CODES) if chr(c).isalnum())
 _BLOCK = 256
@@ -115,39 +119,80 @@ def base_spans(rows: DataFrame) -> DataFrame:
 
 
 def training_samples(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """Labelled tokens (token, random): words of some texts in several cases, and digests of these texts.
-
-    The sample is bounded: the ``TRAINING_TEXTS`` texts of smallest hash.
+    """Labelled tokens (token, random): ordinary ones from some texts, and digests of these texts.
+
+    Ordinary are the short tokens of the texts as they stand, and identifiers made from
+    neighbouring words: camel, snake and kebab case, constants, paths, names with numbers, numbers,
+    dates, UUIDs, rules and fill. Random are digests written in the alphabets of keys. Lower-case
+    digits in base sixteen are not among them: alone they match the pattern of hex strings, and
+    otherwise they are parts of identifiers. The sample is bounded: the ``TRAINING_TEXTS`` texts of
+    smallest hash.
     """
     rows = docs.select(docs[text_column].alias("text")).filter(F.length("text") > 0)
     rows = rows.withColumn("key", F.xxhash64("text"))
     # Keys are chosen without their texts, so the last step gathers a few bytes per task and row.
     keys = rows.select(F.col("key").alias("chosen")).distinct().orderBy("chosen").limit(TRAINING_TEXTS)
     chosen = rows.join(F.broadcast(keys), F.col("key") == F.col("chosen"), "left_semi").distinct()
-    word = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))))
-    words = chosen.select(word.alias("word")).distinct()
-    # Rules and fill, as in "----" or "xxxx", are ordinary, too; a hash picks their character.
-    letter = F.substring(F.lit(_ALPHABET), F.pmod(F.xxhash64("word"), F.lit(len(_ALPHABET))).cast("int") + 1, 1)
-    styles = F.array(
-        "word",
-        F.lower("word"),
-        F.upper("word"),
-        F.concat("word", F.lit("_"), F.lower("word")),
-        F.repeat(letter, 8),
+    short = F.regexp_extract_all("text", F.lit(_SHORT), F.lit(0))
+    natural = chosen.select(F.explode(F.array_distinct(short)).alias("token")).distinct()
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,15}"), F.lit(0)))
+    neighbours = F.zip_with(
+        "words",
+        F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0))),
+        lambda a, b: F.struct(a.alias("word"), F.coalesce(b, a).alias("other")),
+    )
+    pairs = (
+        chosen.select(words.alias("words"))
+        .select(F.explode(neighbours).alias("pair"))
+        .groupBy(F.col("pair.word").alias("word"))
+        .agg(F.min("pair.other").alias("other"))
     )
-    ordinary = words.select(F.explode(styles).alias("token"), F.lit(False).alias("random"))
+    made = pairs.select(F.explode(_identifiers(F.col("word"), F.col("other"))).alias("token"))
+    ordinary = natural.unionAll(made).select("token", F.lit(False).alias("random"))
     digest = F.sha2("text", 512)
     forms = F.array(
-        digest,
         F.regexp_replace(F.base64(F.unhex(digest)), "=", ""),
         F.translate(F.regexp_replace(F.base64(F.unhex(F.sha2(F.reverse("text"), 512))), "=", ""), "+/", "-_"),
+        F.translate(F.base64(F.unhex(F.sha2(F.concat("text", F.lit("0")), 512))), "+/=", ""),
         F.upper(digest),
         F.translate(F.upper(F.base64(F.unhex(F.sha2(F.upper("text"), 512)))), "+/=", "Q7"),
+        F.translate(F.lower(F.base64(F.unhex(F.sha2(F.lower("text"), 512)))), "+/=", "q7"),
     )
     random = chosen.select(F.explode(forms).alias("token"), F.lit(True).alias("random"))
     return ordinary.unionAll(random)
 
 
+def _identifiers(word: Column, other: Column) -> Column:
+    """Ordinary tokens of the usual forms from two words; what is not letters comes from a hash."""
+    number = F.pmod(F.xxhash64(word), F.lit(10**16))
+    small = F.pmod(number, F.lit(100)).cast("string")
+    moment = F.timestamp_seconds(F.pmod(number, F.lit(2 * 10**9)))
+    digest = F.md5(word)
+    uuid = F.concat_ws("-", *[F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    letter = F.substring(F.lit(_ALPHABET), F.pmod(number, F.lit(len(_ALPHABET))).cast("int") + 1, 1)
+    low, next_low = F.lower(word), F.lower(other)
+    return F.array(
+        word,
+        low,
+        F.upper(word),
+        F.concat_ws("_", word, next_low),
+        F.concat_ws("_", F.upper(word), F.upper(other)),
+        F.concat_ws("_", low, small),
+        F.concat_ws("-", low, next_low, small),
+        F.concat_ws("-", F.initcap(low), F.initcap(next_low)),
+        F.concat(low, F.initcap(next_low), F.initcap(low)),
+        F.concat(F.initcap(low), F.initcap(next_low), small),
+        F.concat_ws("/", low, next_low, F.initcap(low)),
+        F.concat(F.lit("/"), next_low, F.lit("/"), low, small),
+        F.lpad(number.cast("string"), 16, "0"),
+        F.date_format(moment, "yyyy-MM-dd'T'HH-mm-ss"),
+        F.date_format(moment, "yyyy/MM/dd/HHmmss"),
+        F.date_format(moment, "yyyyMMdd'T'HHmmss'Z'"),
+        uuid,
+        F.repeat(letter, 8),
+    )
+
+
 def _codes(token: Column) -> Column:
     """The ASCII characters of a token as numbers."""
     return F.filter(F.transform(F.split(token, "", -1), F.ascii), lambda c: (c > 0) & (c < _CODES))
@@ -163,7 +208,9 @@ def _pairs(codes: Column) -> Column:
 def train(samples: DataFrame) -> list[float]:
     """The log-likelihood ratio of each pair of characters, random against ordinary.
 
-    Conditional probabilities with one added to the count of every pair of token characters.
+    The probability of a character behind another is its share there, mixed with what the kinds
+    of both (lower, upper, digit, other) say, so that a pair of letters the samples lack is not
+    taken as random. Without samples every ratio is 0.
     """
     counts = (
         samples.select("random", _codes(F.col("token")).alias("codes"))
@@ -172,21 +219,40 @@ def train(samples: DataFrame) -> list[float]:
         .count()
         .collect()  # at most 2 * 128 * 128 rows
     )
-    alphabet = [ord(c) for c in _ALPHABET]
     seen = {(row["random"], row["pair"]): row["count"] for row in counts}
+    random, ordinary = [_probabilities({p: n for (kind, p), n in seen.items() if kind is k}) for k in (True, False)]
     ratios = [0.0] * (_CODES * _CODES)
-    for first in alphabet:
-        totals = {
-            kind: sum(seen.get((kind, first * _CODES + c), 0) + 1 for c in alphabet) for kind in (True, False)
-        }
-        for second in alphabet:
-            pair = first * _CODES + second
-            ratios[pair] = math.log((seen.get((True, pair), 0) + 1) / totals[True]) - math.log(
-                (seen.get((False, pair), 0) + 1) / totals[False]
-            )
+    for pair, share in random.items():
+        ratios[pair] = math.log(share) - math.log(ordinary[pair])
     return ratios
 
 
+def _kind(code: int) -> str:
+    character = chr(code)
+    return "digit" if character.isdigit() else "lower" if character.islower() else "upper" if character.isupper() else ""
+
+
+def _probabilities(seen: dict[int, int]) -> dict[int, float]:
+    """Of each pair of token characters, the probability of the second behind the first."""
+    codes = [ord(c) for c in _ALPHABET]
+    sizes = Counter(_kind(c) for c in codes)
+    kinds: Counter[tuple[str, str]] = Counter()
+    for first in codes:
+        for second in codes:
+            kinds[_kind(first), _kind(second)] += seen.get(first * _CODES + second, 0)
+    result = {}
+    for first in codes:
+        own = sum(seen.get(first * _CODES + c, 0) for c in codes)
+        alike = sum(kinds[_kind(first), kind] for kind in sizes)
+        weight = KIND_SHARE * own + len(codes)
+        for second in codes:
+            size = sizes[_kind(second)]
+            by_kind = (kinds[_kind(first), _kind(second)] / size + 1) / (alike + len(codes))
+            count = seen.get(first * _CODES + second, 0)
+            result[first * _CODES + second] = (count + weight * by_kind) / (own + weight)
+    return result
+
+
 def ratio(token: Column, ratios: list[float]) -> Column:
     """The log-likelihood ratio of a token: positive if it looks random."""
     # A literal in one piece; as thousands of literals it would be thousands of plan nodes.

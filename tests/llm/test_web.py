@@ -5,12 +5,13 @@ import random
 
 import numpy as np
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
-from crmflow.llm import token_counts, url_filter, warc
+from crmflow.llm import queries_counts, token_counts, url_filter, warc
 from crmflow.llm.queries_counts import TOKENIZERS
 from crmflow.storage import scratch_path
-from tests.llm.frames import documents
+from tests.llm.frames import awkward_texts, documents, prose
 
 PAGES = "page_id bigint, url string, html string"
 
@@ -151,3 +152,72 @@ def test_totals_follow_signed_changes(spark):
         assert totals() == after
     rollup.commit(3, changes.limit(0))
     assert totals() == after
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, token_counts.DELTAS)
+
+
+def _totals(rollup):
+    return {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in rollup.totals().collect()}
+
+
+def test_rollup_without_batches_has_no_totals(spark):
+    rollup = token_counts.TokenRollup(spark, scratch_path(spark, "rollup-none"))
+    assert rollup.totals().count() == 0
+    rollup.compact()
+    assert rollup.folders_read() == []
+    rollup.commit(1, _frame(spark, []))
+    assert _totals(rollup) == {}
+
+
+def test_batch_committed_again_without_rows_is_empty(spark):
+    rollup = token_counts.TokenRollup(spark, scratch_path(spark, "rollup-again"))
+    rollup.commit(1, _frame(spark, [("a", None, "t", 2, 10)]))
+    rollup.commit(2, _frame(spark, [("a", None, "t", 1, 7), (None, "en", "t", 1, 3)]))
+    assert _totals(rollup) == {("a", None, "t"): (3, 17), (None, "en", "t"): (1, 3)}
+    rollup.commit(2, _frame(spark, []))
+    assert _totals(rollup) == {("a", None, "t"): (2, 10)}
+
+
+def test_snapshots_bound_what_is_read(spark):
+    rollup = token_counts.TokenRollup(spark, scratch_path(spark, "rollup-many"), snapshot_every=3)
+    for batch in range(1, 9):
+        rollup.commit(batch, _frame(spark, [("a", "en", "t", 1, batch)]))
+        assert len(rollup.folders_read()) <= 3
+        assert _totals(rollup) == {("a", "en", "t"): (batch, batch * (batch + 1) // 2)}
+    # A batch that snapshots cover is corrected: they are dropped, and the totals follow.
+    rollup.commit(2, _frame(spark, [("a", "en", "t", 1, 102)]))
+    assert _totals(rollup) == {("a", "en", "t"): (8, 136)}
+    rollup.commit(2, _frame(spark, [("a", "en", "t", 1, 102)]))
+    assert _totals(rollup) == {("a", "en", "t"): (8, 136)}
+
+
+def test_token_query_against_brute_force(spark, tmp_path):
+    """The query's four commits, with its tokenizers, over awkward documents."""
+    rng = random.Random(4)
+    texts = [*awkward_texts(), *[prose(rng, 20) for _ in range(6)]]
+    texts += texts[-3:]
+    folder = str(tmp_path / "docs")
+    documents(spark, texts).write.parquet(f"{folder}/documents.parquet")
+    found = queries_counts.op3_token_counts(spark, folder).collect()
+    encodings = {
+        name: tiktoken.Encoding(
+            name,
+            pat_str=token_counts.PATTERN,
+            mergeable_ranks=token_counts.read_ranks(spark, path),
+            special_tokens={},
+        )
+        for name, path in queries_counts.TOKENIZERS.items()
+    }
+    old, new = encodings
+    first, want = {}, {}
+    for i, text in enumerate(texts):
+        if first.setdefault(text, i) != i:
+            continue
+        lang, source = ["en", "fr", None][i % 3], [None, "s1", "s2", "s1"][i % 4]
+        name = old if lang == "en" else new
+        docs, tokens = want.get((source, lang, name), (0, 0))
+        size = len(encodings[name].encode_ordinary(text or ""))
+        want[source, lang, name] = docs + 1, tokens + size
+    assert {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in found} == want
