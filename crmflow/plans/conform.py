@@ -107,22 +107,91 @@ TRANSACTION_COLUMNS = [
 ]
 
 
-def _prepare(raw: DataFrame, names: dict[str, str], types: dict[str, str]) -> DataFrame:
-    """Rename (blanks around headers are ignored) and cast in one projection, without the lineage."""
-    columns = []
-    for header in raw.columns:
-        if header not in LINEAGE:
-            name = names.get(header.strip(), header.strip())
-            column = F.col(f"`{header}`")
-            columns.append((column.try_cast(types[name]) if name in types else column).alias(name))
-    return raw.select(*columns)
+def conversions(key_type: str = "bigint") -> dict[str, tuple[dict[str, str], dict[str, str]]]:
+    """Per raw table, the conformed names of its headers and the types of conformed columns."""
 
+    def keys(*names: str) -> dict[str, str]:
+        return {name: key_type for name in names}
 
-def _moment(df: DataFrame, name: str) -> DataFrame:
-    """A timestamp column: kept if it is one, parsed from text otherwise."""
-    if df.schema[name].dataType.typeName() in ("timestamp", "timestamp_ntz"):
-        return df
-    return df.withColumn(name, F.col(name).try_cast("timestamp"))
+    sale = {
+        **keys("transaction_id", "customer_id", "product_id", "store_id"),
+        "amount": "double",
+        "transaction_datetime": "timestamp",
+    }
+    return {
+        "customers": (CUSTOMER_NAMES, keys("customer_id")),
+        "online_transactions": (ONLINE_NAMES, sale),
+        "instore_transactions": (INSTORE_NAMES, sale),
+        "loyalty_accounts": (
+            LOYALTY_NAMES,
+            {**keys("loyalty_id", "customer_id"), "total_points": "int", "join_date": "date"},
+        ),
+        "service_interactions": (
+            SERVICE_NAMES,
+            {**keys("interaction_id", "customer_id", "agent_id"), "interaction_datetime": "timestamp"},
+        ),
+        "customer_insights": (
+            INSIGHT_NAMES,
+            {
+                **keys("customer_id"),
+                "age": "int",
+                "credit_score": "int",
+                "monthly_income": "double",
+                "product_cost": "double",
+                "product_price": "double",
+                "quantity": "int",
+                "order_confirmed": "boolean",
+                "order_returned": "boolean",
+                "session_start": "timestamp",
+                "session_end": "timestamp",
+            },
+        ),
+        "products": (PRODUCT_NAMES, {**keys("product_id"), "price": "double"}),
+        "stores": (STORE_NAMES, keys("store_id")),
+    }
+
+
+#: Column with the names of those columns of a row whose value a conversion lost.
+LOST = "_lost"
+
+
+def _converted(raw: DataFrame, table: str, key_type: str) -> dict[str, tuple[str, Column, bool]]:
+    """Header to conformed name, converted value, and whether there is a conversion; without the lineage."""
+    names, types = conversions(key_type)[table]
+    result = {}
+    for field in raw.schema.fields:
+        if field.name not in LINEAGE:
+            name = names.get(field.name.strip(), field.name.strip())
+            column, kind = F.col(f"`{field.name}`"), types.get(name)
+            if kind == "timestamp" and field.dataType.typeName() in ("timestamp", "timestamp_ntz"):
+                kind = None
+            result[field.name] = (name, column.try_cast(kind) if kind else column, kind is not None)
+    return result
+
+
+def _prepare(raw: DataFrame, table: str, key_type: str = "bigint") -> DataFrame:
+    """Rename (blanks around headers are ignored) and convert in one projection, without the lineage."""
+    return raw.select(*[value.alias(name) for name, value, _ in _converted(raw, table, key_type).values()])
+
+
+def mark_losses(raw: DataFrame, table: str, key_type: str = "bigint") -> DataFrame:
+    """Adds the names of the columns whose value, other than blank text, a conversion will turn into NULL.
+
+    The cleaned tables keep that column, so it can be counted where they are written.
+    """
+    lost = [
+        F.when((F.trim(F.col(f"`{header}`").cast("string")) != "") & value.isNull(), F.lit(name))
+        for header, (name, value, converted) in _converted(raw, table, key_type).items()
+        if converted
+    ]
+    return raw.withColumn(LOST, F.array_compact(F.array(F.lit(None).cast("string"), *lost)))
+
+
+def loss_counts(tables: Sequence[str], key_type: str = "bigint") -> list[Column]:
+    """Rows with any lost value (``bad_rows``) and, per converted column, those where it was lost."""
+    names = sorted({name for table in tables for name in conversions(key_type)[table][1]})
+    each = [F.count_if(F.array_contains(LOST, name)).alias(f"lost_{name}") for name in names]
+    return [F.count_if(F.size(LOST) > 0).alias("bad_rows"), *each]
 
 
 def stamp(df: DataFrame, column: str, moment: Column | None = None) -> DataFrame:
@@ -133,7 +202,7 @@ def stamp(df: DataFrame, column: str, moment: Column | None = None) -> DataFrame
 def conform_customers(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
     """Adds ``email_domain`` (text between the first and any second @) and ``is_valid_email``."""
     email = F.col("email")
-    return _prepare(raw, CUSTOMER_NAMES, {"customer_id": key_type}).withColumns(
+    return _prepare(raw, "customers", key_type).withColumns(
         {
             "email_domain": F.get(F.split(email, "@"), F.lit(1)),
             "is_valid_email": email.rlike(EMAIL_PATTERN),
@@ -147,19 +216,18 @@ def conform_transactions(online: DataFrame, instore: DataFrame, key_type: str =
     The key is ``(channel, transaction_id)``: the channels number independently.
     Nothing is deduplicated here.
     """
-    keys = {k: key_type for k in ("transaction_id", "customer_id", "product_id", "store_id")}
-    types = {**keys, "amount": "double"}
-    web = _prepare(online, ONLINE_NAMES, types).withColumns(
+    web = _prepare(online, "online_transactions", key_type).withColumns(
         {"channel": F.lit("online"), "store_id": F.lit(None).cast(key_type)}
     )
-    shop = _prepare(instore, INSTORE_NAMES, types).withColumns(
+    shop = _prepare(instore, "instore_transactions", key_type).withColumns(
         {
             "channel": F.lit("instore"),
             "status": F.lit("Completed"),
             "product_id": F.lit(None).cast(key_type),
         }
     )
-    both = [_moment(side, "transaction_datetime").select(*TRANSACTION_COLUMNS) for side in (web, shop)]
+    kept = [*TRANSACTION_COLUMNS, *([LOST] if LOST in web.columns and LOST in shop.columns else [])]
+    both = [side.select(*kept) for side in (web, shop)]
     when = F.col("transaction_datetime")
     return both[0].unionByName(both[1]).withColumns(
         {
@@ -176,14 +244,8 @@ def conform_transactions(online: DataFrame, instore: DataFrame, key_type: str =
 
 def conform_loyalty(raw: DataFrame, as_of: AsOf, key_type: str = "bigint") -> DataFrame:
     """Adds tenure in days and in 30-day months up to ``as_of``, and the tier's rank."""
-    types = {
-        "loyalty_id": key_type,
-        "customer_id": key_type,
-        "total_points": "int",
-        "join_date": "date",
-    }
     days = F.datediff(as_date(as_of), F.col("join_date"))
-    return _prepare(raw, LOYALTY_NAMES, types).withColumns(
+    return _prepare(raw, "loyalty_accounts", key_type).withColumns(
         {
             "tenure_days": days,
             "tenure_months": F.floor(days / 30),
@@ -194,9 +256,8 @@ def conform_loyalty(raw: DataFrame, as_of: AsOf, key_type: str = "bigint") -> Da
 
 def conform_service(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
     """Adds state flags (NULL for a NULL state), the issue category, date and hour."""
-    types = {k: key_type for k in ("interaction_id", "customer_id", "agent_id")}
     status, when = F.col("resolution_status"), F.col("interaction_datetime")
-    return _moment(_prepare(raw, SERVICE_NAMES, types), "interaction_datetime").withColumns(
+    return _prepare(raw, "service_interactions", key_type).withColumns(
         {
             "interaction_date": when.cast("date"),
             "interaction_hour": F.hour(when),
@@ -210,19 +271,7 @@ def conform_service(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
 
 def conform_insights(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
     """Adds order value, margin and profit, text flags as booleans, and demographic bands."""
-    types = {
-        "customer_id": key_type,
-        "age": "int",
-        "credit_score": "int",
-        "monthly_income": "double",
-        "product_cost": "double",
-        "product_price": "double",
-        "quantity": "int",
-        "order_confirmed": "boolean",
-        "order_returned": "boolean",
-    }
-    df = _prepare(raw, INSIGHT_NAMES, types)
-    df = _moment(_moment(df, "session_start"), "session_end")
+    df = _prepare(raw, "customer_insights", key_type)
     price, quantity = F.col("product_price"), F.col("quantity")
     margin = price - F.col("product_cost")
     return df.withColumns(
@@ -238,14 +287,13 @@ def conform_insights(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
 
 
 def conform_products(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
-    types = {"product_id": key_type, "price": "double"}
-    return _prepare(raw, PRODUCT_NAMES, types).withColumn(
+    return _prepare(raw, "products", key_type).withColumn(
         "price_tier", label(F.col("price"), bands.PRICE_TIER)
     )
 
 
 def conform_stores(raw: DataFrame, key_type: str = "bigint") -> DataFrame:
-    return _prepare(raw, STORE_NAMES, {"store_id": key_type})
+    return _prepare(raw, "stores", key_type)
 
 
 # Profile attributes available when customers come from the insights table.

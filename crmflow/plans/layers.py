@@ -19,7 +19,7 @@ from crmflow.plans.segments import build_segments
 from crmflow.sources.files import CORRUPT, discover_csv, file_name, read_csv, table_name
 from crmflow.sources.tables import LayerTables, add_lineage
 
-REPORT_SCHEMA = "table_name string, source string, status string, row_count bigint, message string, bad_rows bigint"
+REPORT_SCHEMA = "table_name string, source string, status string, row_count bigint, message string, bad_rows bigint, lost_values map<string, bigint>"
 
 
 def _run(
@@ -28,7 +28,7 @@ def _run(
     """Run steps one by one; a failed step becomes an ERROR row, a step without input SKIPPED.
 
     A step returns its rows, or these and ``bad_rows``: rows of the source that did not fit, or
-    rows with values that a conversion lost.
+    rows with values that a conversion lost. Counts ``lost_<column>`` go into ``lost_values``.
     """
     report = []
     for name, (source, step) in steps.items():
@@ -36,10 +36,12 @@ def _run(
             done = step()
             counts = done if isinstance(done, dict) else {"rows": done}
             status = "SUCCESS" if done is not None else "SKIPPED"
-            report.append((name, source, status, counts["rows"], None, counts.get("bad_rows")))
+            lost = {c.removeprefix("lost_"): n for c, n in counts.items() if c.startswith("lost_") and n}
+            lost = lost if "bad_rows" in counts else None
+            report.append((name, source, status, counts["rows"], None, counts.get("bad_rows"), lost))
         except Exception as error:  # reported as a row
             text = str(error).splitlines() or traceback.format_exception_only(error)
-            report.append((name, source, "ERROR", None, text[0], None))
+            report.append((name, source, "ERROR", None, text[0], None, None))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
@@ -100,13 +102,14 @@ def conform_layer(
     """Build every cleaned table whose raw table exists; returns the report.
 
     Exact duplicates are removed first, except in the transactions, where that is a
-    switch. Transactions are stored by month, so that reports on a period read only it.
+    switch. Transactions are stored by month, so that reports on a period read only it. Values
+    that do not fit their type become NULL and are counted per column while the table is written.
     """
     tables.create("silver")
 
     def raw(table: str, deduplicate: bool = True) -> DataFrame:
         df = tables.read(table, "bronze")
-        return drop_exact_duplicates(df) if deduplicate else df
+        return conform.mark_losses(drop_exact_duplicates(df) if deduplicate else df, table, key_type)
 
     def transactions() -> DataFrame:
         return conform.conform_transactions(
@@ -135,12 +138,15 @@ def conform_layer(
     }
 
     def step(table: str, sources: list[str], build: Callable[[], DataFrame]):
-        def run() -> int | None:
+        def run() -> dict[str, int] | None:
             if not all(tables.exists(s, "bronze") for s in sources):
                 return None
             stamped = conform.stamp(build(), "_silver_timestamp")
             partitions = partition_transactions_by if table == "transactions" else ()
-            return tables.write(stamped, table, "silver", partition_by=partitions)
+            counts = conform.loss_counts(sources, key_type)
+            return tables.write(
+                stamped, table, "silver", partition_by=partitions, observed=counts, hidden=[conform.LOST]
+            )
 
         return run
 

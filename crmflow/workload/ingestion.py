@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crmflow.operators.rows import upsert
 from crmflow.plans.layers import business_layer, conform_layer, ingest_files
@@ -298,6 +298,47 @@ def conform_run_report(spark: Session, sf_dir: str) -> DataFrame:
     return conform_layer(layers, roles.AS_OF).select("table_name", "status", "row_count")
 
 
+@query(
+    "conform_lost_values",
+    """SELECT 'customers' AS table_name, 'customer_id' AS column_name, count(*) AS lost, count(*) AS bad_rows
+       FROM customer WHERE c_custkey % 10 = 0
+       UNION ALL
+       SELECT 'loyalty', u.column_name,
+              CASE u.column_name WHEN 'customer_id' THEN count(*) FILTER (c_custkey % 10 = 0)
+                   WHEN 'total_points' THEN count(*) FILTER (c_custkey % 7 = 0) ELSE count(*) FILTER (c_custkey % 3 = 0) END,
+              count(*) FILTER (c_custkey % 10 = 0 OR c_custkey % 7 = 0 OR c_custkey % 3 = 0)
+       FROM customer CROSS JOIN (VALUES ('customer_id'), ('total_points'), ('join_date')) AS u(column_name)
+       GROUP BY u.column_name""",
+)
+def conform_lost_values(spark: Session, sf_dir: str) -> DataFrame:
+    """Values of raw files that fit no type, counted per column while the cleaned tables are written."""
+    layers, base = _layers(spark), scratch_path(spark, "lossy")
+    customer, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+
+    def broken_when(divisor: int, word: str, value: Column) -> Column:
+        return F.when(key % divisor == 0, F.lit(word)).otherwise(value.cast("string"))
+
+    number = broken_when(10, "unknown", key).alias("CustomerID")
+    people = customer.select(
+        number, F.col("c_name").alias("Name"), F.lit("").alias("Email"), F.col("c_name").alias("Address")
+    )
+    accounts = customer.select(
+        key.alias("LoyaltyID"),
+        number,
+        broken_when(7, "many", F.lit(100)).alias("PointsEarned"),
+        F.lit("Gold").alias("TierLevel"),
+        broken_when(3, "soon", F.lit("2024-02-29")).alias("JoinDate"),
+    )
+    paths = {
+        name: _export(df, f"{base}/{name}") for name, df in (("customers", people), ("loyalty_accounts", accounts))
+    }
+    ingest_files(layers, paths)
+    report = conform_layer(layers, roles.AS_OF)
+    return report.select(
+        "table_name", F.explode("lost_values").alias("column_name", "lost"), "bad_rows"
+    )
+
+
 @query(
     "business_run_report",
     using(
@@ -482,3 +523,40 @@ def sink_atomic_overwrite(spark: Session, sf_dir: str) -> DataFrame:
         F.lit(after).cast("bigint").alias("rows_after_failure"),
         F.lit(len(layers.versions("supplier", "silver"))).alias("versions"),
     )
+
+
+@query(
+    "sink_upsert_partitions",
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) = 2000 AND o_orderkey % 5 = 1 THEN o_totalprice * 2
+                               ELSE o_totalprice END AS o_totalprice,
+              CAST(CASE WHEN year(o_orderdate) = 2000 AND o_orderkey % 5 = 2 THEN 2001
+                        ELSE year(o_orderdate) END AS INTEGER) AS year,
+              true AS others_untouched
+       FROM orders WHERE NOT (year(o_orderdate) = 2000 AND o_orderkey % 5 = 0)""",
+)
+def sink_upsert_partitions(spark: Session, sf_dir: str) -> DataFrame:
+    """Orders by year; of those of 2000 some are repriced, moved to 2001 or deleted. An older change loses.
+    Only files of these two years are written anew."""
+    layers = _layers(spark)
+    layers.create("silver")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), F.lit(1).alias("version")
+    )
+    layers.write(orders, "orders", "silver", partition_by=["year"])
+
+    def names() -> DataFrame:
+        return layers.read("orders", "silver").select("year", F.input_file_name().alias("file")).distinct()
+
+    before = names()
+    kind, old = F.col("o_orderkey") % 5, F.col("year") == 2000
+    changes = orders.where(old & kind.isin(0, 1, 2, 3)).select(
+        "o_orderkey",
+        F.when(kind.isin(1, 3), F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+        F.when(kind == 2, 2001).otherwise(F.col("year")).alias("year"),
+        F.when(kind == 3, 0).otherwise(2).alias("version"),
+        (kind == 0).alias("gone"),
+    )
+    layers.upsert(changes, "orders", "silver", ["o_orderkey"], "version", ["year"], deleted="gone")
+    # One row per file.
+    untouched = before.where("year NOT IN (2000, 2001)").exceptAll(names()).isEmpty()
+    return layers.read("orders", "silver").drop("version").withColumn("others_untouched", F.lit(untouched))

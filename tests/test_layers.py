@@ -304,3 +304,107 @@ def test_unfinished_snapshots_are_not_read(spark, tmp_path):
     assert values(read_daily_metrics(spark, target)) == want
     with pytest.raises(FileNotFoundError):
         read_daily_metrics(spark, str(tmp_path / "none"))
+
+
+def test_lost_values_are_counted_per_column(spark, layers, tmp_path):
+    base = tmp_path / "data"
+    csv(
+        base,
+        "online_transactions.csv",
+        [
+            "OrderID,CustomerID,ProductID,DateTime,PaymentMethod,Amount,Status",
+            "1,1,5,2024-01-05 10:00:00,Card,9.5,Completed",
+            "2,C7,5,soon,Card,n/a,Completed",
+            "3,C8,,2024-01-06 10:00:00,Card,,Completed",
+            "3,C8,,2024-01-06 10:00:00,Card,,Completed",
+        ],
+    )
+    csv(
+        base,
+        "instore_transactions.csv",
+        ["TransactionID,CustomerID,StoreID,DateTime,PaymentMethod,Amount", "1,1,S2,2024-01-05 10:00:00,Cash,4"],
+    )
+    csv(base, "stores.csv", ["StoreID,Location,Manager,OpenHours", "1,Oslo,Ann,9-17"])
+    ingest_folder(layers, str(base))
+    report = {r.table_name: r for r in conform_layer(layers, "2025-04-01").collect()}
+    sales = report["transactions"]
+    assert (sales.status, sales.row_count, sales.bad_rows) == ("SUCCESS", 5, 4)
+    assert sales.lost_values == {"customer_id": 3, "transaction_datetime": 1, "amount": 1, "store_id": 1}
+    assert (report["stores"].bad_rows, report["stores"].lost_values) == (0, {})
+    assert report["products"].lost_values is None
+    stored = layers.read("transactions", "silver")
+    assert "_lost" not in stored.columns and stored.where("customer_id IS NULL").count() == 3
+
+
+def _upsert_rows(spark, rows):
+    return spark.createDataFrame(rows, "k bigint, day string, v bigint, x string, gone boolean")
+
+
+def _files_by_day(layers):
+    found = layers.read("u", "silver").select("day", F.input_file_name().alias("file")).distinct().collect()
+    return {day: {r.file for r in found if r.day == day} for day in {r.day for r in found}}
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, layers):
+    layers.create("silver")
+    first = _upsert_rows(spark, [(k, f"d'{k % 4}" if k % 5 else None, 1, "old", None) for k in range(40)] + [(None, "d'1", 1, "old", None)])
+    layers.write(first.drop("gone"), "u", "silver", partition_by=["day"])
+    reader, before = layers.read("u", "silver"), _files_by_day(layers)
+    changes = [
+        (1, "d'1", 2, "new", None),
+        (1, "d'1", 2, "new", False),
+        (41, "d'1", 1, "added", None),
+        (9, "d'1", 0, "late", True),
+        (13, "d'1", 1, "gone", True),
+        (21, "d'9", 5, "moved", None),
+        (None, "d'1", 3, "null key", None),
+        (77, "d'3", 1, "unknown", True),
+    ]
+    layers.upsert(_upsert_rows(spark, changes), "u", "silver", ["k"], "v", ["day"], deleted="gone")
+    after = _files_by_day(layers)
+    for day in (None, "d'0", "d'2", "d'3"):
+        assert after[day] == before[day]
+    assert not after["d'1"] & before["d'1"] and set(after) == {*before, "d'9"}
+    rows = {r.k: (r.day, r.v, r.x) for r in layers.read("u", "silver").collect()}
+    assert layers.read("u", "silver").count() == len(rows) == 41
+    assert rows[1] == ("d'1", 2, "new") and rows[41] == ("d'1", 1, "added") and rows[9] == ("d'1", 1, "old")
+    assert 13 not in rows and 77 not in rows
+    assert rows[21] == ("d'9", 5, "moved") and rows[None] == ("d'1", 3, "null key")
+    assert reader.count() == 41 and reader.where("x <> 'old'").count() == 0, "an earlier reader goes on"
+    assert layers.read("u", "silver").where(F.col("day") == "d'2").count() == 8
+
+
+def test_upsert_against_plain_rows_over_many_rounds(spark, layers):
+    rng = random.Random(11)
+    layers.create("silver")
+    want = {}
+    for round_ in range(12):
+        changes = {
+            k: (k, f"d{rng.randrange(5)}", round_, f"x{rng.random()}", rng.random() < 0.2)
+            for k in rng.sample(range(60), 6)
+        }
+        for k, row in changes.items():
+            want[k] = row
+        frame = _upsert_rows(spark, list(changes.values()))
+        layers.upsert(frame, "u", "silver", ["k"], "v", ["day"], deleted="gone")
+        if round_ == 5:
+            extra = (100, "d0", 0, "appended", False)
+            layers.write(_upsert_rows(spark, [extra]).drop("gone"), "u", "silver", "append", ["day"])
+            want[100] = extra
+    rows = sorted((r.k, r.day, r.v, r.x) for r in layers.read("u", "silver").select("k", "day", "v", "x").collect())
+    assert rows == sorted(row[:4] for row in want.values() if not row[4])
+    assert len(layers.shown("u", "silver")) <= 10
+    layers.write(spark.range(3), "u", "silver")
+    layers.write(spark.range(4), "u", "silver")
+    assert len(layers.versions("u", "silver")) == 2
+
+
+def test_failed_upsert_keeps_the_old_table(spark, layers):
+    layers.create("silver")
+    layers.write(_upsert_rows(spark, [(1, "a", 1, "old", None)]).drop("gone"), "u", "silver", partition_by=["day"])
+    assert layers.upsert(_upsert_rows(spark, []), "u", "silver", ["k"], "v", ["day"], deleted="gone") == 0
+    broken = _upsert_rows(spark, [(1, "a", 2, "new", None)]).withColumn("x", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        layers.upsert(broken, "u", "silver", ["k"], "v", ["day"], deleted="gone")
+    assert [r.x for r in layers.read("u", "silver").collect()] == ["old"]
+    assert len(layers.versions("u", "silver")) == 1
