@@ -10,77 +10,45 @@ from crmflow.operators.ordering import (
     OrderKey,
     _split_numbering,
     _tie_break,
+    global_positions,
     order_columns,
     order_names,
     per_group,
-    task_count,
     value_ranks,
 )
 from crmflow.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_groups, null_safe_match, split_hot
 
 
-# Beyond this the search among them would no longer be compiled as one small method.
-_MAX_QUANTILES = 255
-
-
-def _quantiles(df: DataFrame, column: str, count: int) -> list:
-    """Distinct approximate quantiles of a numeric column: values that occur in it, in order."""
-    shares = F.expr(f"array({', '.join(f'{i / (count + 1)!r}D' for i in range(1, count + 1))})")
-    found = df.agg(F.percentile_approx(column, shares, F.lit(max(10_000, 20 * count)))).first()[0]
-    return sorted({value for value in found or [] if value == value})
-
-
-def _bucket(df: DataFrame, column: str, bounds: list) -> Column:
-    """-1 for NULL, 2k - 1 for the k-th bound itself, 2k for what lies behind it.
-
-    One expression that halves the bounds at each step, so it stays inside the scan's stage.
-    """
-    kind, name = df.schema[column].dataType.simpleString(), f"`{column}`"
-    cuts = [f"CAST('{bound}' AS {kind})" for bound in bounds]
-
-    def between(low: int, high: int) -> str:
-        if low < high:
-            middle = (low + high) // 2
-            left, right = between(low, middle), between(middle + 1, high)
-            return f"CASE WHEN {name} < {cuts[middle]} THEN {left} ELSE {right} END"
-        if low == 0:
-            return "0"
-        return f"CASE WHEN {name} = {cuts[low - 1]} THEN {2 * low - 1} ELSE {2 * low} END"
-
-    return F.expr(f"CASE WHEN {name} IS NULL THEN -1 ELSE {between(0, len(bounds))} END")
-
-
-def rows_before(df: DataFrame, column: str) -> DataFrame:
+def rows_before(df: DataFrame, column: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Adds ``_before``, the rows with a smaller value (NULL is smallest), and ``_rows``, all rows.
 
-    The numeric column is cut at its quantiles. A value that fills a whole quantile is
-    a cut itself, so its rows, however many, get their count from the totals of the
-    buckets alone; only the rows between cuts are sorted, each bucket in a task.
+    The rows are ordered by value in as many range parts as adaptive execution finds fit, and written
+    once; equal values may fill any number of parts. Inside a part a plain window ranks them.
+    Only the first value of a part can have begun in an earlier one: where it did is
+    looked up for these values alone, one per part.
     """
-    count = min(_MAX_QUANTILES, 4 * task_count(df) - 1)
-    coded = df.withColumn("_bucket", _bucket(df, column, _quantiles(df, column, count)))
-    # At most two rows per quantile.
-    order = Window.orderBy("_bucket")
-    totals = (
-        coded.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select(
-            "_bucket",
-            F.coalesce(
-                F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_earlier"),
-            F.sum("_size").over(Window.partitionBy()).alias("_rows"),
-        )
+    placed = global_positions(df, [column], policy)
+    parts = placed.groupBy("_part").agg(
+        F.count(F.lit(1)).alias("_size"), F.min_by(column, "_place").alias("_first")
+    )
+    # One row per range partition from here on.
+    edges = parts.select(F.col("_first").alias("_edge")).distinct()
+    starts = (
+        placed.join(F.broadcast(edges), placed[column].eqNullSafe(edges["_edge"]))
+        .groupBy("_edge")
+        .agg((F.min("_position") - 1).alias("_start"))
+    )
+    totals = parts.withColumn("_rows", F.sum("_size").over(Window.partitionBy()))
+    known = totals.join(F.broadcast(starts), totals["_first"].eqNullSafe(starts["_edge"])).select(
+        F.col("_part").alias("_of"), "_first", "_start", "_rows"
     )
-    between = (F.col("_bucket") >= 0) & (F.col("_bucket") % 2 == 0)
-    inside = F.rank().over(Window.partitionBy("_bucket").orderBy(column)) - 1
-    placed = (
-        coded.where(between)
-        .withColumn("_inside", inside)
-        .unionByName(coded.where(~between).withColumn("_inside", F.lit(0)))
+    inside = Window.partitionBy("_part").orderBy(F.col(column).asc_nulls_first())
+    ranked = placed.withColumn("_inside", F.rank().over(inside).cast("bigint") - 1)
+    before = F.when(F.col(column).eqNullSafe(F.col("_first")), F.col("_start")).otherwise(
+        F.col("_position") - F.col("_place") + F.col("_inside")
     )
-    return placed.join(F.broadcast(totals), "_bucket").select(
-        *df.columns, (F.col("_earlier") + F.col("_inside")).alias("_before"), "_rows"
+    return ranked.join(F.broadcast(known), ranked["_part"] == known["_of"]).select(
+        *df.columns, before.alias("_before"), "_rows"
     )
 
 
@@ -98,7 +66,7 @@ def percent_rank(
     single = order_by[0] if len(order_by) == 1 else None
     column = single if isinstance(single, str) else None
     if column and isinstance(df.schema[column].dataType, T.NumericType):
-        counted = rows_before(df, column)
+        counted = rows_before(df, column, policy)
         share = F.when(F.col("_rows") > 1, F.col("_before") / (F.col("_rows") - 1))
         return counted.select(*df.columns, F.coalesce(share, F.lit(0.0)).alias(name))
     ranks = value_ranks(df, order_by, policy=policy).select(

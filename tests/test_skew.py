@@ -131,6 +131,24 @@ def test_percent_rank_of_numbers(spark, kind):
     assert list(map(repr, values(found))) == list(map(repr, values(expected)))
 
 
+@pytest.mark.parametrize("parts", [2, 400])
+def test_percent_rank_in_any_number_of_parts(spark, parts):
+    """A value may end one part, fill the next ones and begin another; there may be more parts than values."""
+    ids = spark.range(2000)
+    runs = F.when(F.col("id") < 1200, F.lit(5.0)).when(F.col("id") < 1300, F.lit(None)).otherwise(F.col("id") % 37)
+    df = ids.select("id", runs.cast("double").alias("x"))
+    expected = df.withColumn("p", F.percent_rank().over(Window.orderBy("x")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    merge = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert values(ranking.percent_rank(df, ["x"], "p")) == values(expected)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
+
+
 def test_percent_rank_of_few_rows(spark):
     one = spark.createDataFrame([(5.0,)], "x double")
     assert ranking.percent_rank(one, ["x"], "p").first()["p"] == 0.0
