@@ -24,7 +24,7 @@ KeyPair = str | tuple[str, str]
 _KEYS_PER_ROW_SCAN = 100
 
 
-def _pairs(keys: Sequence[KeyPair]) -> list[tuple[str, str]]:
+def key_pairs(keys: Sequence[KeyPair]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else k for k in keys]
 
 
@@ -64,7 +64,7 @@ def join_tables(
     the inner join plus the unmatched rows. Rows with a NULL key match nothing and
     skip the shuffle.
     """
-    pairs = _pairs(keys)
+    pairs = key_pairs(keys)
     left_keys, right_keys = [l for l, _ in pairs], [r for _, r in pairs]
     names = _right_names(left, right, pairs, prefix)
     tagged = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
@@ -118,7 +118,7 @@ def left_only(
     The right side is reduced to distinct keys before its shuffle. Left rows of hot
     keys are tested by broadcast against the few of those keys that exist.
     """
-    pairs = _pairs(keys)
+    pairs = key_pairs(keys)
     names = [l for l, _ in pairs]
     keyed, unkeyed = _null_free(left, names)
     others = right.select(*[F.col(r).alias(l) for l, r in pairs]).distinct()
@@ -141,7 +141,7 @@ def right_only(
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Right rows without a match."""
-    return left_only(right, left, [(r, l) for l, r in _pairs(keys)], policy)
+    return left_only(right, left, [(r, l) for l, r in key_pairs(keys)], policy)
 
 
 def join_outputs(
@@ -302,7 +302,7 @@ def null_key_counts(
     left: DataFrame, right: DataFrame, keys: Sequence[KeyPair]
 ) -> DataFrame:
     """Rows with a NULL key on each side: ``side``, ``key``, ``null_rows``, ``total_rows``."""
-    pairs = _pairs(keys)
+    pairs = key_pairs(keys)
 
     def side(df: DataFrame, label: str, names: Sequence[str]) -> DataFrame:
         counts = df.agg(

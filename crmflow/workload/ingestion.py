@@ -174,6 +174,7 @@ _PROFILED = {
         ("o_custkey", "int"),
         ("o_orderstatus", "string"),
         ("o_totalprice", "double"),
+        ("o_orderdate", "timestamp"),
         ("o_orderpriority", "string"),
     ],
 }
@@ -195,6 +196,43 @@ def src_schema_profile(spark: Session, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir)
 
 
+@query(
+    "src_profile_errors",
+    """SELECT 'nation' AS file, true AS readable, (SELECT count(*) FROM nation) AS row_count
+       UNION ALL SELECT 'customer', true, (SELECT count(*) FROM customer)
+       UNION ALL SELECT 'absent', false, NULL""",
+)
+def src_profile_errors(spark: Session, sf_dir: str) -> DataFrame:
+    """Each file that was asked for: its rows, or that it could not be read."""
+    base = scratch_path(spark, "profiled")
+    paths = [_export(table(spark, sf_dir, name), f"{base}/{name}") for name in ("nation", "customer")]
+    profile, errors = files.schema_profile(spark, [*paths, f"{base}/absent"])
+    read = profile.select("file", F.lit(True).alias("readable"), "row_count").distinct()
+    failed = errors.where("message <> ''").select(
+        "file", F.lit(False).alias("readable"), F.lit(None).cast("bigint").alias("row_count")
+    )
+    return read.unionByName(failed).withColumn("file", files.file_name(F.col("file")))
+
+
+@query(
+    "src_record_limit",
+    """SELECT least(count(*), 700) AS limited, count(*) AS whole, count(DISTINCT o_orderkey) >= least(count(*), 700) AS known
+       FROM orders""",
+)
+def src_record_limit(spark: Session, sf_dir: str) -> DataFrame:
+    """An input with a record limit has that many different rows of the file, or all."""
+    path = scratch_path(spark, "orders")
+    layer_tables.write_output(table(spark, sf_dir, "orders"), path)
+    limited = files.read_input(spark, path, record_limit=700)
+    whole = files.read_input(spark, path)
+    found = whole.join(limited.select("o_orderkey"), "o_orderkey", "left_semi")
+    return limited.agg(F.count(F.lit(1)).alias("limited")).select(
+        "limited",
+        F.lit(whole.count()).alias("whole"),
+        (F.lit(found.count()) >= F.col("limited")).alias("known"),
+    )
+
+
 @query(
     "src_schema_summary",
     """SELECT 'region' AS file, (SELECT count(*) FROM region) AS row_count, 2 AS column_count,
@@ -202,8 +240,8 @@ def src_schema_profile(spark: Session, sf_dir: str) -> DataFrame:
        UNION ALL SELECT 'nation', (SELECT count(*) FROM nation), 3, 'n_nationkey, n_name, n_regionkey'
        UNION ALL SELECT 'customer', (SELECT count(*) FROM customer), 5,
                         'c_custkey, c_name, c_nationkey, c_acctbal +1 more'
-       UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), 5,
-                        'o_orderkey, o_custkey, o_orderstatus, o_totalprice +1 more'""",
+       UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), 6,
+                        'o_orderkey, o_custkey, o_orderstatus, o_totalprice +2 more'""",
 )
 def src_schema_summary(spark: Session, sf_dir: str) -> DataFrame:
     return files.schema_summary(_profile(spark, sf_dir))
@@ -339,6 +377,15 @@ def conform_lost_values(spark: Session, sf_dir: str) -> DataFrame:
     )
 
 
+def _business_tables(spark: Session, sf_dir: str) -> tuple[LayerTables, DataFrame]:
+    """All layers built from raw CSV files, and the report of the last."""
+    layers = _layers(spark)
+    _, paths = _export_roles(spark, sf_dir)
+    ingest_files(layers, paths)
+    conform_layer(layers, roles.AS_OF)
+    return layers, business_layer(layers, roles.AS_OF)
+
+
 @query(
     "business_run_report",
     using(
@@ -352,11 +399,31 @@ def conform_lost_values(spark: Session, sf_dir: str) -> DataFrame:
 )
 def business_run_report(spark: Session, sf_dir: str) -> DataFrame:
     """Raw files to business tables, layer by layer."""
-    layers = _layers(spark)
-    _, paths = _export_roles(spark, sf_dir)
-    ingest_files(layers, paths)
-    conform_layer(layers, roles.AS_OF)
-    return business_layer(layers, roles.AS_OF).select("table_name", "status", "row_count")
+    return _business_tables(spark, sf_dir)[1].select("table_name", "status", "row_count")
+
+
+@query("business_run_segments", using("segments", "SELECT * FROM segments"))
+def business_run_segments(spark: Session, sf_dir: str) -> DataFrame:
+    """The stored segments after raw files went through all layers, value by value."""
+    return _business_tables(spark, sf_dir)[0].read("customer_segments", "gold").drop("_gold_timestamp")
+
+
+@query("business_run_value", using("clv", "SELECT * FROM clv"))
+def business_run_value(spark: Session, sf_dir: str) -> DataFrame:
+    """The stored lifetime values after raw files went through all layers."""
+    return _business_tables(spark, sf_dir)[0].read("customer_clv", "gold").drop("_gold_timestamp")
+
+
+@query("business_run_daily", using("daily", "SELECT * FROM daily"))
+def business_run_daily(spark: Session, sf_dir: str) -> DataFrame:
+    """The stored daily metrics after raw files went through all layers."""
+    return _business_tables(spark, sf_dir)[0].read("daily_metrics", "gold").drop("_gold_timestamp")
+
+
+@query("business_run_campaigns", using("campaigns", "SELECT * FROM campaigns"))
+def business_run_campaigns(spark: Session, sf_dir: str) -> DataFrame:
+    """The stored campaign results after raw files went through all layers."""
+    return _business_tables(spark, sf_dir)[0].read("campaign_performance", "gold").drop("_gold_timestamp")
 
 
 @query("src_table", using("stores", "SELECT * FROM stores"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crmflow.operators import aggregate, filters, joins, ordering, project, quality, ranking, rows
+from crmflow.operators import aggregate, filters, joins, ordering, outputs, project, quality, ranking, rows
 from crmflow.operators.aggregate import Summary
 from crmflow.plans.money import from_units, units
 from crmflow.sources.files import literal_rows
@@ -376,6 +376,78 @@ def join_right_only(spark: Session, sf_dir: str) -> DataFrame:
     return joins.join_outputs(left, right, ["customer_id"])[2]
 
 
+@query(
+    "join_all_outputs",
+    using(
+        "transactions",
+        """SELECT channel, transaction_id, product_id, t.amount, p_partkey, p_brand AS brand, p_size AS size,
+                  CASE WHEN p_partkey IS NULL THEN 'left' WHEN transaction_id IS NULL THEN 'right' ELSE 'matched' END AS output
+           FROM transactions t FULL JOIN (SELECT * FROM part WHERE p_partkey % 3 > 0) ON product_id = p_partkey""",
+    ),
+)
+def join_all_outputs(spark: Session, sf_dir: str) -> DataFrame:
+    """All three outputs of a join, each input computed once."""
+    left = roles.transactions(spark, sf_dir).select("channel", "transaction_id", "product_id", "amount")
+    right = table(spark, sf_dir, "part").where("p_partkey % 3 > 0").select(
+        "p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size")
+    )
+    found = outputs.JoinOutputs(left, right, [("product_id", "p_partkey")])
+    named = {"matched": found.matched, "left": found.left_only, "right": found.right_only}
+    return rows.union_by_name([df.withColumn("output", F.lit(name)) for name, df in named.items()])
+
+
+@query(
+    "join_output_counts",
+    using(
+        "transactions",
+        """SELECT 'left_matched' AS output, count(*) AS n FROM transactions
+             WHERE customer_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+           UNION ALL SELECT 'left_only', count(*) FROM transactions
+             WHERE customer_id IS NULL OR customer_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+           UNION ALL SELECT 'right_matched', count(*) FROM customer
+             WHERE c_acctbal > 0 AND c_custkey IN (SELECT customer_id FROM transactions WHERE customer_id IS NOT NULL)
+           UNION ALL SELECT 'right_only', count(*) FROM customer
+             WHERE c_acctbal > 0 AND c_custkey NOT IN (SELECT customer_id FROM transactions WHERE customer_id IS NOT NULL)""",
+    ),
+)
+def join_output_counts(spark: Session, sf_dir: str) -> DataFrame:
+    """How many rows of each side match, counted while the outputs are written."""
+    left = roles.transactions(spark, sf_dir).select("transaction_id", "customer_id")
+    right = table(spark, sf_dir, "customer").where("c_acctbal > 0").select("c_custkey", "c_name")
+    with outputs.JoinOutputs(left, right, [("customer_id", "c_custkey")]) as found:
+        return spark.createDataFrame(list(found.rows.items()), "output string, n bigint")
+
+
+@query(
+    "filter_all_outputs",
+    using(
+        "transactions",
+        """SELECT transaction_id, channel, amount,
+                  CASE WHEN amount >= 50 THEN 'true' WHEN amount < 50 THEN 'false' ELSE 'null' END AS output
+           FROM transactions""",
+    ),
+)
+def filter_all_outputs(spark: Session, sf_dir: str) -> DataFrame:
+    """The outputs of a condition, from one pass over the rows."""
+    rows_ = roles.transactions(spark, sf_dir).select("transaction_id", "channel", "amount")
+    found = outputs.filter_outputs(rows_, F.col("amount") >= 50)
+    return rows.union_by_name([df.withColumn("output", F.lit(name)) for name, df in found.items()])
+
+
+@query(
+    "unique_all_outputs",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
+              CASE WHEN row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber) = 1
+                   THEN 'unique' ELSE 'duplicate' END AS output
+       FROM lineitem""",
+)
+def unique_all_outputs(spark: Session, sf_dir: str) -> DataFrame:
+    """First shipment of each part and all later ones, from one numbering."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    found = outputs.unique_outputs(lines, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"])
+    return rows.union_by_name([df.withColumn("output", F.lit(name)) for name, df in found.items()])
+
+
 @query(
     "join_full_outer",
     using(
