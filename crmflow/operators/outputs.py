@@ -188,15 +188,20 @@ class JoinOutputs:
         self.remove()
 
 
-def _flag_by_keys(df: DataFrame, names: Sequence[str], keys: DataFrame) -> StoredOutputs:
-    """Outputs ``matched`` and ``unmatched``: whether a row's keys are among distinct ``keys``."""
-    salt, hit = _free_name("_salt", df.columns), _free_name("_hit", df.columns)
+def _marked(df: DataFrame, names: Sequence[str], keys: DataFrame, hit: str) -> DataFrame:
+    """The rows with a column that is true where their keys are among the distinct ``keys``, else NULL."""
+    salt = _free_name("_salt", df.columns)
     unset = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
     dealt = F.pmod(row_hash(df), F.lit(_NULL_SALTS))
     rows = df.withColumn(salt, F.when(unset, dealt).otherwise(F.lit(-1).cast("bigint")))
     marks = keys.select("*", F.lit(-1).cast("bigint").alias("_k_salt"), F.lit(True).alias(hit))
     on = [rows[n] == marks[f"_k{i}"] for i, n in enumerate(names)]
     joined = rows.join(marks, [*on, rows[salt] == marks["_k_salt"]], "left")
-    flagged = joined.select(*[rows[c] for c in df.columns], marks[hit])
+    return joined.select(*[rows[c] for c in df.columns], marks[hit])
+
+
+def _flag_by_keys(df: DataFrame, names: Sequence[str], keys: DataFrame) -> StoredOutputs:
+    """Outputs ``matched`` and ``unmatched``: whether a row's keys are among distinct ``keys``."""
+    hit = _free_name("_hit", df.columns)
     output = F.when(F.col(hit), "matched").otherwise("unmatched")
-    return StoredOutputs(flagged, output, ["matched", "unmatched"], "side", df.columns)
+    return StoredOutputs(_marked(df, names, keys, hit), output, ["matched", "unmatched"], "side", df.columns)

@@ -6,6 +6,7 @@ Each query works in a fresh path of the shared folder.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -44,10 +45,12 @@ def _export(df: DataFrame, path: str) -> str:
     return path
 
 
-def _export_roles(spark: Session, sf_dir: str) -> tuple[str, dict[str, str]]:
+def _export_roles(
+    spark: Session, sf_dir: str, names: Sequence[str] = tuple(RAW_ROLES)
+) -> tuple[str, dict[str, str]]:
     """The raw roles as CSV folders below one path."""
     base = scratch_path(spark, "raw")
-    return base, {name: _export(role(spark, sf_dir), f"{base}/{name}") for name, role in RAW_ROLES.items()}
+    return base, {name: _export(RAW_ROLES[name](spark, sf_dir), f"{base}/{name}") for name in names}
 
 
 def _layers(spark: Session) -> LayerTables:
@@ -377,10 +380,15 @@ def conform_lost_values(spark: Session, sf_dir: str) -> DataFrame:
     )
 
 
-def _business_tables(spark: Session, sf_dir: str) -> tuple[LayerTables, DataFrame]:
-    """All layers built from raw CSV files, and the report of the last."""
+_PROFILE_RAW = ("customers", "online_transactions", "instore_transactions", "loyalty_accounts", "service_interactions")
+
+
+def _business_tables(
+    spark: Session, sf_dir: str, delivered: Sequence[str] = tuple(RAW_ROLES)
+) -> tuple[LayerTables, DataFrame]:
+    """All layers built from the raw CSV files that were delivered, and the report of the last."""
     layers = _layers(spark)
-    _, paths = _export_roles(spark, sf_dir)
+    _, paths = _export_roles(spark, sf_dir, delivered)
     ingest_files(layers, paths)
     conform_layer(layers, roles.AS_OF)
     return layers, business_layer(layers, roles.AS_OF)
@@ -405,25 +413,29 @@ def business_run_report(spark: Session, sf_dir: str) -> DataFrame:
 @query("business_run_segments", using("segments", "SELECT * FROM segments"))
 def business_run_segments(spark: Session, sf_dir: str) -> DataFrame:
     """The stored segments after raw files went through all layers, value by value."""
-    return _business_tables(spark, sf_dir)[0].read("customer_segments", "gold").drop("_gold_timestamp")
+    layers, _ = _business_tables(spark, sf_dir, _PROFILE_RAW)
+    return layers.read("customer_segments", "gold").drop("_gold_timestamp")
 
 
 @query("business_run_value", using("clv", "SELECT * FROM clv"))
 def business_run_value(spark: Session, sf_dir: str) -> DataFrame:
     """The stored lifetime values after raw files went through all layers."""
-    return _business_tables(spark, sf_dir)[0].read("customer_clv", "gold").drop("_gold_timestamp")
+    layers, _ = _business_tables(spark, sf_dir, _PROFILE_RAW)
+    return layers.read("customer_clv", "gold").drop("_gold_timestamp")
 
 
 @query("business_run_daily", using("daily", "SELECT * FROM daily"))
 def business_run_daily(spark: Session, sf_dir: str) -> DataFrame:
     """The stored daily metrics after raw files went through all layers."""
-    return _business_tables(spark, sf_dir)[0].read("daily_metrics", "gold").drop("_gold_timestamp")
+    layers, _ = _business_tables(spark, sf_dir, ("online_transactions", "instore_transactions"))
+    return layers.read("daily_metrics", "gold").drop("_gold_timestamp")
 
 
 @query("business_run_campaigns", using("campaigns", "SELECT * FROM campaigns"))
 def business_run_campaigns(spark: Session, sf_dir: str) -> DataFrame:
     """The stored campaign results after raw files went through all layers."""
-    return _business_tables(spark, sf_dir)[0].read("campaign_performance", "gold").drop("_gold_timestamp")
+    layers, _ = _business_tables(spark, sf_dir, ("customer_insights",))
+    return layers.read("campaign_performance", "gold").drop("_gold_timestamp")
 
 
 @query("src_table", using("stores", "SELECT * FROM stores"))
