@@ -19,15 +19,21 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from crmflow.operators.skew import DEFAULT_POLICY, SkewPolicy, fits_broadcast
+from crmflow.storage import materialize
 
 REVISIT_BYTES = 1000
+#: Words of 64 bits in the bitmap of repeated digests, sent to every executor.
+FILTER_WORDS = 1 << 19
 CHUNK_BYTES = 64 << 10
 #: Bytes of rows handed on at once.
 _BATCH_BYTES = 4 << 20
 _DATE = "1970-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _END = b"\r\n\r\n"
+_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 CHUNKS = "record bigint, chunk int, last boolean, data binary, digest binary"
 RECORDS = (
@@ -35,8 +41,40 @@ RECORDS = (
 )
 
 
-def decide_revisits(pages: DataFrame, id_column: str, url_column: str, payload_column: str) -> DataFrame:
-    """Per page: id, uri, payload, its size and SHA-1, and the id of the response it revisits, if any."""
+def _attach_responses(rows: DataFrame, copied: DataFrame, policy: SkewPolicy) -> DataFrame:
+    """The rows with the response of their digest, payloads staying where they lie as far as possible.
+
+    A list of repeated digests that is measured to be small is broadcast. Beyond that a bitmap of
+    ``FILTER_WORDS`` words at most is, and only large rows whose bit is set are shuffled: those of
+    repeated digests, and a few others.
+    """
+    same = F.col("digest") == F.col("copied")
+    if fits_broadcast(copied, policy):
+        return rows.join(F.broadcast(copied), same, "left")
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))
+
+    def shifted(function: str, value: Column, column: str) -> Column:
+        return F.call_function(function, value, (place(column) % 64).cast("int"))
+
+    one = shifted("shiftleft", F.lit(1).cast("bigint"), "copied")
+    words = copied.groupBy(F.shiftright(place("copied"), 6).alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    word = F.when(F.col("size") >= REVISIT_BYTES, F.shiftright(place("digest"), 6))
+    known = rows.join(F.broadcast(words), word == F.col("_word"), "left")
+    marked = F.coalesce(shifted("shiftright", F.col("_bits"), "digest").bitwiseAND(1) == 1, F.lit(False))
+    asked = known.where(marked).drop("_word", "_bits").join(copied, same, "left")
+    alone = known.where(~marked).drop("_word", "_bits")
+    return asked.unionByName(alone, allowMissingColumns=True)
+
+
+def decide_revisits(
+    pages: DataFrame, id_column: str, url_column: str, payload_column: str, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Per page: id, uri, payload, its size and SHA-1, and the id of the response it revisits, if any.
+
+    Runs a job that stores the digests of repeated payloads.
+    """
     payload = F.coalesce(pages[payload_column], F.lit("")).cast("binary")
     rows = pages.select(
         pages[id_column].alias("id"),
@@ -53,7 +91,7 @@ def decide_revisits(pages: DataFrame, id_column: str, url_column: str, payload_c
         .select(F.col("digest").alias("copied"), "response")
     )
     revisits = F.col("id").isNull() | (F.col("id") < F.col("response"))
-    return rows.join(copied, F.col("digest") == F.col("copied"), "left").select(
+    return _attach_responses(rows, materialize(copied, "copied"), policy).select(
         F.col("id").cast("string").alias("id"),
         "uri",
         "payload",
@@ -84,6 +122,7 @@ def _head(page_id, uri, size: int, digest: str, refers_to) -> bytes:
         # Line ends would end the field.
         fields.append(("WARC-Target-URI", uri.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")))
     if refers_to is not None:
+        fields.append(("WARC-Profile", _PROFILE))
         fields.append(("WARC-Refers-To", _record_urn(refers_to, digest)))
         fields.append(("WARC-Refers-To-Page-ID", refers_to))
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n").encode() + _HTTP
@@ -225,7 +264,8 @@ def write_archive(
     url_column: str = "url",
     payload_column: str = "html",
     chunk_bytes: int = CHUNK_BYTES,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> None:
     """Writes the chunk table of all pages to ``path``."""
-    decided = decide_revisits(pages, id_column, url_column, payload_column)
+    decided = decide_revisits(pages, id_column, url_column, payload_column, policy)
     to_chunks(decided, chunk_bytes).write.option("compression", "zstd").parquet(path)

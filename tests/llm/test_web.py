@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crmflow.llm import queries_counts, token_counts, url_filter, warc
 from crmflow.llm.queries_counts import TOKENIZERS
+from crmflow.operators.skew import DEFAULT_POLICY, SkewPolicy
 from crmflow.storage import scratch_path
 from tests.llm.frames import awkward_texts, documents, prose
 
@@ -27,11 +28,15 @@ def pages(spark):
     return rows, spark.createDataFrame(rows, PAGES).withColumn("record", F.lit("clash"))
 
 
-@pytest.mark.parametrize("chunk", [100, 64 << 10])
-def test_archive_round_trip(spark, chunk):
+#: No list of repeated digests counts as small.
+BY_BITMAP = SkewPolicy(broadcast_rows=0)
+
+
+@pytest.mark.parametrize("chunk, policy", [(100, DEFAULT_POLICY), (64 << 10, DEFAULT_POLICY), (64 << 10, BY_BITMAP)])
+def test_archive_round_trip(spark, chunk, policy):
     rows, table = pages(spark)
     path = scratch_path(spark, "warc-test")
-    warc.write_archive(table, path, chunk_bytes=chunk)
+    warc.write_archive(table, path, chunk_bytes=chunk, policy=policy)
     stored = spark.read.schema(warc.CHUNKS).parquet(path)
     assert stored.agg(F.max(F.octet_length("data"))).first()[0] <= chunk
     found = [tuple(r) for r in warc.read_records(stored).collect()]
@@ -52,6 +57,24 @@ def test_archive_round_trip(spark, chunk):
     assert sorted(found, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("words", [1, 1 << 19])
+def test_only_repeated_payloads_are_shuffled(spark, monkeypatch, words):
+    """With one word nearly every large payload is asked for, with many hardly any; the result is the same."""
+    monkeypatch.setattr(warc, "FILTER_WORDS", words)
+    made = spark.range(3000).select(
+        F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"),
+        F.repeat(F.when(F.col("id") % 10 == 0, F.col("id") % 70).otherwise(F.col("id")).cast("string"), 700).alias("html"),
+    )
+    def kinds(policy):
+        return sorted(map(tuple, warc.decide_revisits(made, "page_id", "url", "html", policy).drop("payload").collect()))
+
+    plain = kinds(DEFAULT_POLICY)
+    assert kinds(BY_BITMAP) == plain and 250 < sum(row[-1] is not None for row in plain) < 300
+    decided = warc.decide_revisits(made, "page_id", "url", "html", DEFAULT_POLICY)
+    plan = decided._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_damaged_archives_are_noticed(spark):
     _, table = pages(spark)
     path = scratch_path(spark, "warc-test")
