@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from crmflow.llm.text import ALNUM_BYTES, LOWER, column_bytes, find_words, hash_spans, text_slices
-from crmflow.llm.workers import giving_back
+from crmflow.llm.workers import block_by_block, giving_back
+from crmflow.storage import materialize
 
 PHRASE_WORDS = 10
 #: Phrases of one broadcast: at most about 250 bytes each.
@@ -264,6 +265,7 @@ def phrase_blocks(items: DataFrame, id_column: str, text_column: str, size: int,
     """The phrases as broadcasts of about ``block`` phrases each; one empty broadcast if there are none."""
     context = items.sparkSession.sparkContext
     found = phrases_of(items, id_column, text_column, size).withColumnRenamed("items", "names")
+    found = materialize(found, "phrases")
     count = -(-found.count() // block)
     blocks = []
     for number in range(count):
@@ -362,13 +364,15 @@ def drop_contaminated(
     block_phrases: int = BLOCK_PHRASES,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no phrase of any item, with all their columns."""
-    place = docs.columns.index(text_column)
-    for block in phrase_blocks(items, item_column, "text", size, block_phrases):
+    place, schema = docs.columns.index(text_column), docs.schema
 
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+    def one_pass(rows: DataFrame, block) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 hits = shard_hits(batch.column(place), block.value, shard_bytes)
                 yield batch.filter(pa.array([not spans for _, spans, _ in hits], pa.bool_()))
 
-        docs = docs.mapInArrow(giving_back(run), docs.schema)
-    return docs
+        return rows.mapInArrow(giving_back(run), schema)
+
+    blocks = phrase_blocks(items, item_column, "text", size, block_phrases)
+    return block_by_block(docs, blocks, one_pass, "uncontaminated")

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crmflow.llm.text import mix
+from crmflow.llm.workers import block_by_block
 from crmflow.storage import materialize
 
 #: Rules as (verdict, host, path). Fixed values of the query's contract.
@@ -175,9 +176,9 @@ def mark_listed(rows: DataFrame, key: Sequence[str], blocks: Sequence, flag: str
         raise ValueError(f"the rows have a column {flag!r} already")
     names = rows.columns
     hashed = rows.select(*rows.columns, *_key_hashes([rows[k] for k in key]), F.lit(False).alias(flag))
-    for block in blocks:
 
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+    def one_pass(rows: DataFrame, block) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 one, two = (
                     batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (-3, -2)
@@ -186,8 +187,9 @@ def mark_listed(rows: DataFrame, key: Sequence[str], blocks: Sequence, flag: str
                 columns = [*batch.columns[:-1], pa.array(before | block.value.listed(one, two))]
                 yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-        hashed = hashed.mapInArrow(run, hashed.schema)
-    return hashed.select(*names, flag)
+        return rows.mapInArrow(run, hashed.schema)
+
+    return block_by_block(hashed, blocks, one_pass, "marked").select(*names, flag)
 
 
 def judge_urls(

@@ -10,6 +10,7 @@ import pytest
 
 from crmflow.llm import decontaminate, quality
 from crmflow.llm.text import WORD_BYTES, find_words, hash_spans, text_slices, window_hashes, windows_inside
+from crmflow.llm.workers import BLOCKS_AT_ONCE
 from tests.llm.frames import awkward_texts, documents, lower, prose, words
 
 
@@ -162,6 +163,7 @@ def test_hits_against_brute_force(spark, block, shard):
             assert alnum(text[span.start : span.end]) == alnum(text)[span.word : span.word_end]
     kept = decontaminate.drop_contaminated(docs, table, block_phrases=block)
     assert kept.schema == docs.schema
+    assert kept._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= BLOCKS_AT_ONCE
     clean = sorted(i for i, text in enumerate(texts) if not hits(text, items)[1])
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == clean
 

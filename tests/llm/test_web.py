@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crmflow.llm import queries_counts, token_counts, url_filter, warc
 from crmflow.llm.queries_counts import TOKENIZERS
+from crmflow.llm.workers import BLOCKS_AT_ONCE
 from crmflow.operators.skew import DEFAULT_POLICY, SkewPolicy
 from crmflow.storage import scratch_path
 from tests.llm.frames import awkward_texts, documents, prose
@@ -106,6 +107,19 @@ def test_cascade_is_exact_on_its_universe(shards):
     assert (url_filter.Cascade(rest, shards).listed(one, two) == (listed & (part != 0))).all()
 
 
+def test_ten_blocks_of_a_list_take_few_workers_at_once(spark):
+    keys = spark.range(4000).select(
+        *url_filter._key_hashes([F.col("id").cast("string")]), (F.col("id") % 3 == 0).alias("listed")
+    )
+    blocks = url_filter.build_cascade(keys, shard_keys=100, block_bytes=200)
+    assert len(blocks) >= 10
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("key"))
+    marked = url_filter.mark_listed(rows, ["key"], blocks)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("MapInArrow") <= BLOCKS_AT_ONCE
+    assert all(row.listed == (int(row.key) % 3 == 0) for row in marked.collect())
+
+
 def test_urls(spark):
     rng = random.Random(1)
     hosts = ["Example.ORG", "x.example.org", "notexample.org", "a.com", "b.net", "com", ""]
