@@ -302,6 +302,12 @@ def test_auto_field_and_impute(spark):
     assert filled == {"mean": 5.75, "median": 6.0, "mode": 10.0, ("constant", 4): 4.0}
 
 
+def test_auto_field_dates_beyond_timestamps(spark):
+    data = [("300000", "300000", "300000-05-06", "2024-01-02"), ("1", "x", "2024-01-02", "300000-05-06 10:00:00")]
+    df = spark.createDataFrame(data, "a string, b string, c string, d string")
+    assert quality.narrow_types(df) == {"a": "int", "b": "string", "c": "date", "d": "string"}
+
+
 def test_text_split(spark):
     df = spark.createDataFrame([("a|b|c",), ("a",), (None,), ("|",)], "t string")
     split = text.text_to_columns(df, "t", "|", 2, "p")
