@@ -179,8 +179,9 @@ def mark_losses(raw: DataFrame, table: str, key_type: str = "bigint") -> DataFra
 
     The cleaned tables keep that column, so it can be counted where they are written.
     """
+    # The text of a value, which is slow to write, is only looked at where the conversion gave NULL.
     lost = [
-        F.when((F.trim(F.col(f"`{header}`").cast("string")) != "") & value.isNull(), F.lit(name))
+        F.when(value.isNull() & (F.trim(F.col(f"`{header}`").cast("string")) != ""), F.lit(name))
         for header, (name, value, converted) in _converted(raw, table, key_type).items()
         if converted
     ]

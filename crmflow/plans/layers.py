@@ -71,7 +71,8 @@ def ingest_files(
             )
             stamped = add_lineage(raw, F.col("_file"), ingested_at, ingested_on).drop("_file")
             bad = F.count(CORRUPT).alias("bad_rows")
-            return tables.write(stamped, table, "bronze", mode, ["_ingestion_date"], [bad])
+            # One ingest has one date, so there is nothing to gather by it.
+            return tables.write(stamped, table, "bronze", mode, ["_ingestion_date"], [bad], one_partition=True)
 
         return run
 

@@ -116,12 +116,15 @@ class LayerTables:
         partition_by: Sequence[str] = (),
         observed: Sequence[Column] = (),
         hidden: Sequence[str] = (),
+        one_partition: bool = False,
     ) -> int | dict[str, int]:
         """Overwrite or append, and return the rows written, counted during the write.
 
         An append may bring new columns (older rows read as NULL) or lack some; a
         changed type is an error. With ``observed`` aggregates, their values come back
         together with the count (``rows``); they may use ``hidden`` columns, which are not stored.
+        ``one_partition`` says that all rows have the same partition values: they are written
+        where they are read, without a shuffle.
         """
         if mode not in ("overwrite", "append"):
             raise ValueError(f"write mode must be overwrite or append, not {mode!r}")
@@ -133,8 +136,9 @@ class LayerTables:
             df = self._evolve(df, table, layer, target, hidden)
         else:
             target = self._next_version(table, layer)
-        found = self._store(df, target, partition_by, observed, hidden, mode == "overwrite" or present is None)
-        if mode == "overwrite" or present is None:
+        is_new = mode == "overwrite" or present is None
+        found = self._store(df, target, partition_by, observed, hidden, is_new, one_partition)
+        if is_new:
             self._show(table, layer, target)
             self._drop_old(table, layer, shown)
         return found if observed else found["rows"]
@@ -153,8 +157,9 @@ class LayerTables:
         observed: Sequence[Column],
         hidden: Sequence[str],
         is_new: bool,
+        one_partition: bool = False,
     ) -> dict[str, int]:
-        if partition_by:
+        if partition_by and not one_partition:
             # Files per partition value: adaptive execution splits a large one and merges small ones.
             df = df.hint("rebalance", *partition_by)
         # Counted in the writing stage itself, where a repeated task counts once.

@@ -246,6 +246,22 @@ def test_bad_rows_are_kept_and_counted(spark, layers, tmp_path):
     assert {r[0].rsplit("/", 1)[1] for r in found.select("_source_file").distinct().collect()} == {"t.csv", "u.csv"}
 
 
+def test_raw_rows_are_written_where_they_are_read(spark, layers, tmp_path):
+    folder = str(tmp_path / "people")
+    spark.range(400).repartition(4).write.option("header", True).csv(folder)
+    cost = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(cost)
+    spark.conf.set(cost, "128m")  # a task for each file
+    try:
+        report = ingest_files(layers, {"people": folder}).first()
+    finally:
+        spark.conf.set(cost, before)
+    assert (report["status"], report["row_count"]) == ("SUCCESS", 400)
+    stored = layers.read("people", "bronze")
+    assert stored.select("id").distinct().count() == 400
+    assert len(stored.inputFiles()) == 4
+
+
 def test_no_files_to_read(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("")
