@@ -24,7 +24,7 @@ from pyspark.sql.types import StringType
 from crmflow.llm.similar_sets import bit_sketch, find_buckets, in_bitmap, key_bitmap, link_classes
 from crmflow.llm.text import column_bytes, mix
 from crmflow.llm.workers import giving_back
-from crmflow.storage import materialize
+from crmflow.storage import materialize, temporary_tables
 
 #: Characters of a shingle: a power of two.
 SHINGLE = 8
@@ -160,9 +160,10 @@ def _hashed(batch: pa.RecordBatch, done: set[int]) -> Iterator[tuple[int, np.nda
         yield from zip(names, signatures(lines))
 
 
-def _line_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Class and text of the lines that ``wanted`` names."""
-    shared = key_bitmap(wanted, "class")
+def _line_texts(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Class and text of the lines that are in buckets."""
+    shared = key_bitmap(buckets, "class")
+    wanted = buckets.select("class").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
@@ -200,23 +201,14 @@ def _measured(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(giving_back(run), "class bigint, text string, copies bigint, n bigint, sketch binary")
 
 
-def _lines_gone(
-    docs: DataFrame, id_column: str, text_column: str, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """All lines with a word, and those to be removed: rows (id, text_key, line, …)."""
-    rows = _keyed(docs, id_column, text_column)
-    lines = materialize(_occurrences(rows), "lines")
+def _lines_gone(rows: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """The lines to be removed: rows (id, text_key, line, …) of ``lines``, all lines with a word."""
     total = lines.count()
     buckets = materialize(find_buckets(rows, _hashed, total * BANDS), "line-buckets")
-    met = buckets.select("class").distinct()
     copies = lines.groupBy("class").agg(F.count(F.lit(1)).alias("copies"))
-    texts = _line_texts(rows, met).join(copies, "class").select("class", "text", "copies")
+    texts = _line_texts(rows, buckets).join(copies, "class").select("class", "text", "copies")
     classes = materialize(_measured(texts), "line-classes")
-
-    def fetch(wanted: DataFrame) -> DataFrame:
-        return classes.select("class", "text").join(wanted, "class")
-
-    labels = link_classes(buckets, classes, fetch, line_sets, percent)
+    labels = link_classes(buckets, classes, lambda _: classes.select("class", "text"), line_sets, percent)
     # A line that is there once and like no other stays, and is not looked at again.
     roots = labels.select(F.col("component").alias("class"), "component").distinct()
     named = labels.select(F.col("node").alias("class"), "component").unionAll(roots)
@@ -226,20 +218,25 @@ def _lines_gone(
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_key", "line")
     keepers = known.groupBy("label").agg(F.min(place).alias("keep"))
     # Ids may be null, so the comparison is null-safe.
-    return lines, known.join(keepers, "label").filter(~place.eqNullSafe(F.col("keep")))
+    return known.join(keepers, "label").filter(~place.eqNullSafe(F.col("keep")))
 
 
-def _numbers(gone: DataFrame) -> DataFrame:
-    return gone.groupBy("id", "text_key").agg(F.array_sort(F.collect_set("line")).alias("remove"))
+def _numbers_gone(rows: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """Per document (_id, _key) that loses lines: the numbers of those to ``remove``."""
+    gone = _lines_gone(rows, lines, percent).groupBy("id", "text_key")
+    found = gone.agg(F.array_sort(F.collect_set("line")).alias("remove"))
+    return found.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "remove")
 
 
 def repeated_lines(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """Per document (id, text_key): ``n_lines`` with a word, and the numbers of those to ``remove``."""
-    lines, gone = _lines_gone(docs, id_column, text_column, percent)
+    rows = _keyed(docs, id_column, text_column)
+    lines = materialize(_occurrences(rows), "lines")
+    with temporary_tables(docs.sparkSession):
+        found = materialize(_numbers_gone(rows, lines, percent), "line-numbers", stays=True)
     totals = lines.groupBy("id", "text_key").agg(F.count_distinct("line").alias("n_lines"))
-    found = _numbers(gone).select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "remove")
     same = totals["id"].eqNullSafe(found["_id"]) & (totals["text_key"] == found["_key"])
     none = F.array().cast("array<bigint>")
     return totals.join(found, same, "left").select("id", "text_key", "n_lines", F.coalesce("remove", none).alias("remove"))
@@ -264,8 +261,10 @@ def dedup_lines(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """The rows of ``docs`` without their repeated lines; all other columns stay as they are."""
-    found = _numbers(_lines_gone(docs, id_column, text_column, percent)[1])
-    found = found.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "remove")
+    rows = _keyed(docs, id_column, text_column)
+    with temporary_tables(docs.sparkSession):
+        lines = materialize(_occurrences(rows), "lines")
+        found = materialize(_numbers_gone(rows, lines, percent), "line-numbers", stays=True)
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     text = docs[text_column]
     keyed = docs.select(row, docs[id_column].alias("id"), F.xxhash64(text).alias("text_key"))

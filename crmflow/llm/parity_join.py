@@ -160,7 +160,7 @@ def fetch_texts(
 ) -> DataFrame:
     """Class and text for the classes that ``wanted`` names.
 
-    A bitmap of fixed size over the text keys keeps most other texts out of the shuffle.
+    A bitmap of bounded size over the text keys keeps most other texts out of the shuffle.
     """
     chosen = classes.join(wanted, "class").select(
         "class", F.col("id").alias("_id"), F.col("text_key").alias("_key")
@@ -207,7 +207,7 @@ def near_duplicates(
     labels = link_classes(
         buckets,
         classes,
-        lambda wanted: fetch_texts(docs, classes, wanted, id_column, text_column),
+        lambda wanted: materialize(fetch_texts(docs, classes, wanted, id_column, text_column), "texts"),
         _sets,
         percent,
     )

@@ -29,8 +29,11 @@ PACK_WORDS = 2_000_000
 BLOCK_MEMBERS = 1000
 #: Up to this many members, all pairs are compared at once (a few thousand sketches).
 SMALL_BLOCK = 48
-#: Bits of the bitmap that tells wanted keys from most others (1 MB).
-FILTER_BITS = 1 << 23
+#: A bitmap that tells wanted keys from most others: its bits per key, and fewest and most bits (1 and 32 MB).
+BITS_PER_KEY = 16
+FILTER_BITS, MAX_FILTER_BITS = 1 << 23, 1 << 28
+#: Each key sets a bit for each of these turns of its own bits.
+_TURNS = (0, 21, 42)
 
 Sets = Callable[[pa.Array], Iterator[np.ndarray]]
 
@@ -132,19 +135,29 @@ def find_buckets(rows: DataFrame, hashed: Callable, words: int) -> DataFrame:
 
 
 def key_bitmap(rows: DataFrame, column: str) -> Broadcast:
-    """A bitmap of fixed size over the long keys of a column."""
-    bit = F.pmod(column, F.lit(FILTER_BITS))
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))
-    flags = rows.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(one).alias("bits")).toPandas()
-    bitmap = np.zeros(FILTER_BITS >> 6, np.uint64)
+    """A bitmap over the long keys of a column, which are hashes; of bounded size."""
+    bits = min(MAX_FILTER_BITS, max(FILTER_BITS, 1 << (rows.count() * BITS_PER_KEY).bit_length()))
+    turned = [
+        F.shiftleft(column, 64 - turn).bitwiseOR(F.shiftrightunsigned(column, turn)) if turn else F.col(column)
+        for turn in _TURNS
+    ]
+    places = rows.select(F.explode(F.array(*[t.bitwiseAND(F.lit(bits - 1)) for t in turned])).alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(63).cast("int"))
+    flags = places.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toPandas()
+    bitmap = np.zeros(bits >> 6, np.uint64)
     bitmap[flags["word"].to_numpy(np.int64)] = flags["bits"].to_numpy(np.int64).view(np.uint64)
     return rows.sparkSession.sparkContext.broadcast(bitmap)
 
 
 def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """May each key be among those of the bitmap?"""
-    at = keys % FILTER_BITS
-    return (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+    keys, last = keys.astype(np.uint64), np.uint64((len(bitmap) << 6) - 1)
+    found = np.ones(len(keys), bool)
+    for turn in _TURNS:
+        at = keys if not turn else keys << np.uint64(64 - turn) | keys >> np.uint64(turn)
+        at = at & last
+        found &= (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return found
 
 
 def _folded(sketch: bytes, words: int) -> np.ndarray:
@@ -333,12 +346,12 @@ def link_classes(
     """Rows (node, component) of the classes that have links.
 
     ``classes`` has columns class, n, sketch and copies; ``fetch`` gives (class, text) for a
-    frame of classes, and ``sets`` the sets of a column of texts.
+    frame of classes at least, as a stored table, and ``sets`` the sets of a column of texts.
     """
 
     def linked(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        return verify(pairs, materialize(fetch(ends), "texts"), sets, percent)
+        return verify(pairs, fetch(ends), sets, percent)
 
     leader_pairs = materialize(_leader_pairs(buckets, classes), "leaders")
     links = materialize(linked(materialize(plausible(leader_pairs, classes, percent), "near")), "links")

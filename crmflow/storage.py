@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths of the tables that the innermost ``temporary_tables`` block removes.
+_temporary: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
+
+
 @cache
 def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="crmflow-")
@@ -33,14 +40,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/crmflow/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes inside are removed at the end, but for those that stay.
+
+    Frames that leave the block must read none of the removed ones.
+    """
+    paths: list[str] = []
+    token = _temporary.set(paths)
+    try:
+        yield
+    finally:
+        _temporary.reset(token)
+        for path in paths:
+            remove_folder(spark, path)
+
+
+def materialize(df: DataFrame, label: str = "table", stays: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Several dependants then scan columns of a stored table instead of each
     recomputing the plan, and a lost executor costs only its own tasks.
+    A table that ``stays`` outlives a ``temporary_tables`` block.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    paths = _temporary.get()
+    if paths is not None and not stays:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

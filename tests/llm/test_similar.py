@@ -3,13 +3,16 @@
 import random
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from crmflow.llm import line_dedup, parity_join, similar_sets
 from crmflow.llm.components import components
 from crmflow.llm.text import mix
+from crmflow.storage import shared_dir
 from tests.llm.frames import awkward_texts, documents, edited, joined, prose, shingles, words
 
 
@@ -179,3 +182,25 @@ def test_texts_of_very_many_lines(spark):
     found = line_dedup.dedup_lines(documents(spark, [text, "one\ntwo"], extra=False)).orderBy("doc_id").collect()
     assert found[0]["text"].split("\n")[-1] == "" and found[1]["text"] == "one\ntwo"
     assert found[0]["text"] == "\n".join([*dict.fromkeys(found[0]["text"].split("\n"))])
+
+
+def test_line_dedup_removes_its_tables(spark):
+    folder = Path(shared_dir(spark).removeprefix("file://"), "crmflow")
+    before = set(folder.glob("*"))
+    docs = documents(spark, line_texts())
+    out = line_dedup.dedup_lines(docs)
+    left = set(folder.glob("*")) - before
+    assert [p.name.rsplit("-", 1)[0] for p in left] == ["line-numbers"]
+    assert out.count() == docs.count()
+
+
+@pytest.mark.parametrize("count", [0, 1, 200_000])
+def test_key_bitmap(spark, monkeypatch, count):
+    """It knows all its keys, and grows with them: few others pass."""
+    monkeypatch.setattr(similar_sets, "FILTER_BITS", 1 << 16)
+    hashed = spark.range(count).select(F.xxhash64("id").alias("key"))
+    bitmap = similar_sets.key_bitmap(hashed, "key").value
+    keys = np.array([r.key for r in hashed.collect()], np.int64)
+    assert similar_sets.in_bitmap(bitmap, keys).all()
+    others = np.array([r.key for r in spark.range(10**6, 10**6 + 20_000).select(F.xxhash64("id").alias("key")).collect()])
+    assert similar_sets.in_bitmap(bitmap, others).mean() < 0.02
