@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from crmflow.llm.similar_sets import bit_sketch, find_buckets, in_bitmap, key_bitmap, link_classes
+from crmflow.llm.similar_sets import bit_sketches, find_buckets, in_bitmap, key_bitmap, link_classes
 from crmflow.llm.text import column_bytes, mix
 from crmflow.llm.workers import giving_back
 from crmflow.storage import materialize, temporary_tables
@@ -37,6 +37,7 @@ _SPACE = b" \t\n\x0b\x0c\r"
 _CHUNK = 1 << 16
 
 _BASE = 0x9E3779B97F4A7C15
+_LOW_POINTS = mix(np.arange(1 << 16, dtype=np.uint64))
 _SEEDS = mix(np.arange(2 * BANDS * ROWS, dtype=np.uint64))
 _MASKS = (_SEEDS[: BANDS * ROWS] >> np.uint64(32)).astype(np.uint32)
 _FACTORS = (_SEEDS[BANDS * ROWS :] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -57,64 +58,98 @@ def lines_of(text: bytes) -> Iterator[tuple[int, int, bytes]]:
             yield number, xxhash.xxh3_64_intdigest(line) - (1 << 63), line
 
 
+def _mix_in_place(values: np.ndarray) -> None:
+    """``mix``, without an array for each step."""
+    values += np.uint64(0x9E3779B97F4A7C15)
+    shifted = values >> np.uint64(30)
+    values ^= shifted
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= np.right_shift(values, np.uint64(27), out=shifted)
+    values *= np.uint64(0x94D049BB133111EB)
+    values ^= np.right_shift(values, np.uint64(31), out=shifted)
+
+
+def _mixed_points(points: np.ndarray) -> np.ndarray:
+    """``mix`` of code points; nearly all are in a table."""
+    mixed = _LOW_POINTS.take(points, mode="clip")
+    high = points >= len(_LOW_POINTS)
+    if high.any():
+        mixed[high] = mix(points[high].astype(np.uint64))
+    return mixed
+
+
 def shingle_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of some lines, and where those of each line start (and the total)."""
-    points = np.frombuffer(b"\n".join(lines).decode().encode("utf-32-le"), np.uint32)
-    ends = np.append(np.flatnonzero(points == 10), len(points))
+    # A line feed ends every line; the others let a shingle start at each place up to the last of them.
+    joined = b"\n".join(lines) + b"\n" * SHINGLE
+    points = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
+    ends = np.flatnonzero(points[: len(points) - SHINGLE + 1] == 10)
     starts = np.append(0, ends[:-1] + 1)
-    hashes = mix(points.astype(np.uint64))
-    lengths, counts = ends - starts, np.maximum(ends - starts - SHINGLE + 1, 1)
     # Widths double: the hash of 2w characters is made of those of w.
-    wide, width = hashes, 1
-    while width < SHINGLE and len(wide) > width:
-        wide = wide[:-width] * np.uint64(pow(_BASE, width, 1 << 64)) + wide[width:]
-        width *= 2
-    wide = mix(wide)
-    before = np.cumsum(counts) - counts
-    at = np.repeat(starts - before, counts) + np.arange(int(counts.sum()))
-    short = lengths < SHINGLE
-    found = np.empty(len(at), np.uint64)
-    inside = np.repeat(~short, counts)
-    found[inside] = wide[at[inside]] if inside.any() else 0
-    for i in np.flatnonzero(short).tolist():
-        found[before[i]] = xxhash.xxh3_64_intdigest(lines[i])
-    return found, np.append(before, len(at))
+    wide, width = _mixed_points(points), 1
+    while width < SHINGLE:
+        wider = wide[:-width] * np.uint64(pow(_BASE, width, 1 << 64))
+        wider += wide[width:]
+        wide, width = wider, 2 * width
+    # A shingle starts at all places of a line but its last ones, in a short line at the first.
+    inside = np.ones(len(wide), bool)
+    for back in range(SHINGLE):
+        inside[np.maximum(ends - back, starts)] = False
+    short = np.flatnonzero(ends - starts < SHINGLE)
+    inside[starts[short]] = True
+    found = wide[inside]
+    _mix_in_place(found)
+    cuts = np.append(0, np.cumsum(np.maximum(ends - starts - SHINGLE + 1, 1)))
+    for i in short.tolist():
+        found[cuts[i]] = xxhash.xxh3_64_intdigest(lines[i])
+    return found, cuts
 
 
 def signatures(lines: list[bytes]) -> np.ndarray:
     """One row of band hashes per line."""
     hashes, cuts = shingle_hashes(lines)
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
-    permuted = np.empty_like(short)
-    bands = np.empty((BANDS, len(lines)), np.uint64)
-    for band in range(BANDS):
-        value = np.full(len(lines), band, np.uint64)
-        for row in range(band * ROWS, (band + 1) * ROWS):
-            np.bitwise_xor(short, _MASKS[row], out=permuted)
-            permuted *= _FACTORS[row]
-            least = np.minimum.reduceat(permuted, cuts[:-1])
-            value = mix(value ^ least.astype(np.uint64))
-        bands[band] = value
+    upper = (hashes >> np.uint64(32)).astype(np.uint32)
+    permuted = np.empty_like(upper)
+    least = np.empty((BANDS * ROWS, len(lines)), np.uint32)
+    for row in range(BANDS * ROWS):
+        np.bitwise_xor(upper, _MASKS[row], out=permuted)
+        permuted *= _FACTORS[row]
+        np.minimum.reduceat(permuted, cuts[:-1], out=least[row])
+    least = least.reshape(BANDS, ROWS, len(lines)).astype(np.uint64)
+    bands = np.arange(BANDS, dtype=np.uint64)[:, None]
+    for row in range(ROWS):
+        bands = mix(bands ^ least[:, row])
     return bands.T
 
 
-def line_sets(column: pa.Array) -> Iterator[np.ndarray]:
-    """The ascending distinct shingles of each line of a column."""
-    held, lines = 0, []
+def _distinct_shingles(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The ascending distinct shingles of each line, for some lines at a time, and their cuts."""
 
-    def sets() -> Iterator[np.ndarray]:
+    def distinct() -> tuple[np.ndarray, np.ndarray]:
         hashes, cuts = shingle_hashes(lines)
         for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            yield np.unique(hashes[low:high])
+            hashes[low:high].sort()
+        fresh = np.ones(len(hashes), bool)
+        np.not_equal(hashes[1:], hashes[:-1], out=fresh[1:])
+        fresh[cuts[:-1]] = True
+        return hashes[fresh], np.append(0, np.cumsum(np.add.reduceat(fresh, cuts[:-1], dtype=np.int64)))
 
+    held, lines = 0, []
     for line in _texts(column):
         lines.append(line)
         held += len(line)
         if held >= _CHUNK:
-            yield from sets()
+            yield distinct()
             held, lines = 0, []
     if lines:
-        yield from sets()
+        yield distinct()
+
+
+def line_sets(column: pa.Array) -> Iterator[np.ndarray]:
+    """The ascending distinct shingles of each line of a column."""
+    for shingles, cuts in _distinct_shingles(column):
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield shingles[low:high]
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -191,10 +226,12 @@ def _line_texts(rows: DataFrame, buckets: DataFrame) -> DataFrame:
 def _measured(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(s), bit_sketch(s)) for s in line_sets(batch.column(1))]
-            sizes, sketches = zip(*found) if found else ((), ())
+            sizes, sketches = [pa.array([], pa.int64())], [pa.array([], pa.binary())]
+            for shingles, cuts in _distinct_shingles(batch.column(1)):
+                sizes.append(pa.array(np.diff(cuts), pa.int64()))
+                sketches.append(bit_sketches(shingles, cuts))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())],
+                [*batch.columns, pa.concat_arrays(sizes), pa.concat_arrays(sketches)],
                 [*batch.schema.names, "n", "sketch"],
             )
 
@@ -206,14 +243,15 @@ def _lines_gone(rows: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     total = lines.count()
     buckets = materialize(find_buckets(rows, _hashed, total * BANDS), "line-buckets")
     copies = lines.groupBy("class").agg(F.count(F.lit(1)).alias("copies"))
-    texts = _line_texts(rows, buckets).join(copies, "class").select("class", "text", "copies")
+    repeated = materialize(copies.filter("copies > 1"), "line-copies")
+    texts = _line_texts(rows, buckets).join(repeated, "class", "left")
+    texts = texts.select("class", "text", F.coalesce("copies", F.lit(1).cast("bigint")).alias("copies"))
     classes = materialize(_measured(texts), "line-classes")
     labels = link_classes(buckets, classes, lambda _: classes.select("class", "text"), line_sets, percent)
     # A line that is there once and like no other stays, and is not looked at again.
     roots = labels.select(F.col("component").alias("class"), "component").distinct()
     named = labels.select(F.col("node").alias("class"), "component").unionAll(roots)
-    doubtful = copies.join(named, "class", "left").filter("copies > 1 OR component IS NOT NULL")
-    doubtful = doubtful.select("class", F.coalesce("component", "class").alias("label"))
+    doubtful = repeated.join(named, "class", "full").select("class", F.coalesce("component", "class").alias("label"))
     known = materialize(lines.join(doubtful, "class").drop("class"), "line-places")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_key", "line")
     keepers = known.groupBy("label").agg(F.min(place).alias("keep"))

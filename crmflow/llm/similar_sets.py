@@ -45,6 +45,19 @@ def bit_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def bit_sketches(shingles: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """``bit_sketch`` of each run of distinct shingles between cuts, none of them empty."""
+    # The exponent of a float is the bit length of its whole number.
+    bits = np.maximum(64, np.int64(1) << np.frexp(2.0 * np.diff(cuts) - 1)[1].astype(np.int64))
+    ends = np.cumsum(bits)
+    place = (shingles & np.repeat(bits - 1, np.diff(cuts)).view(np.uint64)).view(np.int64)
+    place += np.repeat(ends - bits, np.diff(cuts))
+    parity = (np.bincount(place, minlength=int(ends[-1])) & 1).astype(np.uint8)
+    offsets = (np.append(0, ends) >> 3).astype(np.int32)
+    packed = np.packbits(parity, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(bits), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+
+
 def set_class(shingles: np.ndarray) -> int:
     """A signed 64-bit hash of a set."""
     if not len(shingles):
