@@ -147,6 +147,14 @@ def find_buckets(rows: DataFrame, hashed: Callable, words: int) -> DataFrame:
     return packed.groupBy("part").applyInArrow(group_giving_back(_meet), "bucket bigint, class bigint").distinct()
 
 
+def _pack_bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words (word, bits) of a bitmap, a row for each batch: four bytes of each place, eight of its bits."""
+    for batch in batches:
+        word, bits = (column.to_numpy() for column in batch.columns)
+        packed = [word.astype(np.uint32).tobytes(), bits.tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([cell], pa.binary()) for cell in packed], ["words", "bits"])
+
+
 def key_bitmap(rows: DataFrame, column: str) -> Broadcast:
     """A bitmap over the long keys of a column, which are hashes; of bounded size."""
     bits = min(MAX_FILTER_BITS, max(FILTER_BITS, 1 << (rows.count() * BITS_PER_KEY).bit_length()))
@@ -156,9 +164,11 @@ def key_bitmap(rows: DataFrame, column: str) -> Broadcast:
     ]
     places = rows.select(F.explode(F.array(*[t.bitwiseAND(F.lit(bits - 1)) for t in turned])).alias("bit"))
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(63).cast("int"))
-    flags = places.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toPandas()
+    flags = places.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("bits"))
     bitmap = np.zeros(bits >> 6, np.uint64)
-    bitmap[flags["word"].to_numpy(np.int64)] = flags["bits"].to_numpy(np.int64).view(np.uint64)
+    # Packed, as a row for each word takes the driver's Python some sixty times the bitmap.
+    for words, own in flags.mapInArrow(giving_back(_pack_bitmap), "words binary, bits binary").collect():
+        bitmap[np.frombuffer(words, np.uint32)] = np.frombuffer(own, np.uint64)
     return rows.sparkSession.sparkContext.broadcast(bitmap)
 
 

@@ -2,6 +2,7 @@
 
 import random
 import time
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 from pathlib import Path
@@ -256,3 +257,20 @@ def test_key_bitmap(spark, monkeypatch, count):
     assert similar_sets.in_bitmap(bitmap, keys).all()
     others = np.array([r.key for r in spark.range(10**6, 10**6 + 20_000).select(F.xxhash64("id").alias("key")).collect()])
     assert similar_sets.in_bitmap(bitmap, others).mean() < 0.02
+
+
+def test_key_bitmap_takes_the_driver_little_more_than_its_size(spark, monkeypatch):
+    monkeypatch.setattr(similar_sets, "FILTER_BITS", 1 << 16)
+    arrow = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(arrow)
+    # As sessions have it that do not ask for more.
+    spark.conf.set(arrow, "false")
+    tracemalloc.start()
+    try:
+        shared = similar_sets.key_bitmap(spark.range(200_000).select(F.xxhash64("id").alias("key")), "key")
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(arrow, before)
+    assert shared.value.nbytes == 1 << 19
+    assert peak < 10 * shared.value.nbytes
